@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bizlens.schemas import TABLES
+from bizlens.schemas import CORRUPT, TABLES
 
 LABELS = ("POSITIVE", "NEGATIVE", "NEUTRAL")  # fixed values
 
@@ -66,6 +66,16 @@ def missing_text(feeds: Mapping[str, DataFrame]) -> DataFrame:
     return _stack(_report(df, "missing_text", t, {"text": missing}) for t, df in feeds.items())
 
 
+def broken_records(feeds: Mapping[str, DataFrame], keys: Mapping[str, str]) -> DataFrame:
+    """Records of raw feeds that did not parse, and parsed ones without a key, in one pass each."""
+    reports = []
+    for name, feed in feeds.items():
+        key, parsed = keys[name], F.col(CORRUPT).isNull()
+        counts = {CORRUPT: F.count_if(~parsed), key: F.count_if(parsed & F.col(key).isNull())}
+        reports.append(_report(feed, "broken", name, counts))
+    return _stack(reports)
+
+
 def closed_businesses(business_feed: DataFrame) -> DataFrame:
     return _report(business_feed, "closed", "business", {"is_open": F.count_if(F.col("is_open") == 0)})
 

@@ -34,5 +34,9 @@ def good_records(feed: DataFrame) -> DataFrame:
 
 
 def quarantined(feed: DataFrame) -> DataFrame:
-    """Records that did not parse: whatever fields were found, plus the raw text."""
+    """Records that did not parse: whatever fields were found, plus the raw text.
+
+    Write it out as it is; to count, use ``quality.broken_records``, since Spark refuses a scan that
+    asks for the raw text alone.
+    """
     return feed.filter(F.col(CORRUPT).isNotNull())

@@ -389,8 +389,9 @@ FINALS: dict[str, str] = {
         _orphans("user_elite", "user_id", "user", "user_id"), _orphans("user_friend", "user_id", "user", "user_id"),
     ]),
     "dq_length": None,
-    "dq_quarantine": """SELECT CASE WHEN doc_id % 59 = 0 THEN 'broken' ELSE 'good' END AS kind, count(*) AS n
-        FROM review_feed GROUP BY ALL""",
+    "dq_quarantine": """SELECT '_corrupt_record' AS "column", count(*) AS n FROM review_feed WHERE doc_id % 59 = 0
+        UNION ALL SELECT 'review_id', count(*) FROM review_feed WHERE doc_id % 59 <> 0 AND review_id IS NULL
+        UNION ALL SELECT 'quarantine', count(*) FROM review_feed WHERE doc_id % 59 = 0""",
     # incremental loading
     "ingest_next_file": """SELECT script_name, next_file, script_name || '/x' || CASE WHEN next_file < 10 THEN '0' ELSE '' END || next_file AS file_name
         FROM (SELECT s.script_name, coalesce(max(processed_file), -1) + 1 AS next_file

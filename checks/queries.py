@@ -406,26 +406,24 @@ def dq_length(s: Standins) -> DataFrame:
 
 @registered
 def dq_quarantine(s: Standins) -> DataFrame:
-    """Every 59th record is cut in half, then the feed is read and split."""
-    path = new_folder(s.spark, "review-broken")
+    """Every 59th record is cut in half; good and broken records are counted, the broken ones kept."""
+    root = new_folder(s.spark, "review-broken")
     documents = given_texts(s.spark, s.sf_dir, "documents", "doc_id").select("doc_id", "source", "text")
     orders = given(s.spark, s.sf_dir, "orders").select("o_orderkey", "o_custkey")
     joined = documents.join(orders, F.col("doc_id") == F.col("o_orderkey"))
-    line = F.to_json(
-        F.struct(
-            F.col("doc_id").cast("string").alias("review_id"),
-            F.col("o_custkey").cast("string").alias("user_id"),
-            F.col("source").alias("business_id"),
-            "text",
-        )
+    record = F.struct(
+        F.when(F.col("doc_id") % 61 != 7, F.col("doc_id").cast("string")).alias("review_id"),
+        F.col("o_custkey").cast("string").alias("user_id"),
+        F.col("source").alias("business_id"),
+        "text",
     )
-    whole = joined.select("doc_id", line.alias("line"))
+    lines = joined.select("doc_id", F.to_json(record).alias("line"))
     cut = F.when(F.col("doc_id") % 59 == 0, F.expr("left(line, length(line) div 2)")).otherwise(F.col("line"))
-    whole.select(cut.alias("value")).write.text(path)
-    feed = read_feed(s.spark, "review", path)
-    parts = {"good": good_records(feed), "broken": quarantined(feed)}
-    kinds = [df.select(F.lit(kind).alias("kind"), "review_id") for kind, df in parts.items()]
-    return kinds[0].unionByName(kinds[1]).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    lines.select(cut.alias("value")).write.text(f"{root}/in")
+    feed = read_feed(s.spark, "review", f"{root}/in")
+    kept = write_table(quarantined(feed), f"{root}/quarantine")
+    report = quality.broken_records({"review": feed}, {"review": "review_id"}).select("column", "n")
+    return report.unionByName(kept.agg(F.count("_corrupt_record").alias("n")).select(F.lit("quarantine").alias("column"), "n"))
 
 
 # incremental loading
