@@ -41,8 +41,13 @@ somewhat sorta sortof sort-of
 CONTRAST = ("but",)
 
 # Blanks that separate words, and punctuation stripped from word edges.
-_WORD = r"[^ \t\n\r\f\x0B\p{Z}]+"
-_EDGES = r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$"
+_BLANK = r" \t\n\r\f\x0B\p{Z}"
+_SIGN = r"!-/:-@\[-`{-~"
+# A run of non-blanks without the signs around it, or the whole run when it is signs only.
+_WORD = (
+    rf"(?:[{_SIGN}]+(?=[^{_BLANK}{_SIGN}]))?"
+    rf"([^{_BLANK}{_SIGN}](?:[^{_BLANK}]*[^{_BLANK}{_SIGN}])?|[{_SIGN}]+)[{_SIGN}]*"
+)
 
 MAX_LITERAL_TERMS = 50_000
 MAX_LITERAL_VALUES = 256
@@ -66,13 +71,7 @@ BASE_RULES = Rules((), (), (), (), False, False)
 def sentiment_words(text: Column | str) -> Column:
     """Blank-separated words without edge punctuation; signs-only words stay, single characters go."""
     text = F.col(text) if isinstance(text, str) else text
-
-    def bare(word: Column) -> Column:
-        stripped = F.regexp_replace(word, _EDGES, "")
-        return F.when(F.length(stripped) > 0, stripped).otherwise(word)
-
-    words = F.transform(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)), bare)
-    return F.filter(words, lambda word: F.length(word) > 1)
+    return F.filter(F.regexp_extract_all(text, F.lit(_WORD), F.lit(1)), lambda word: F.length(word) > 1)
 
 
 def _one_of(word: Column, listed: tuple[str, ...]) -> Column:
@@ -87,15 +86,16 @@ def _contribution(words: Column, values: Column, at: Column, contrast_at: Column
         before = F.get(words, place)
         neutral = before.isNotNull() & F.get(values, place).isNull()
         boost = (
-            F.when(neutral & _one_of(before, rules.increasing), step["boost"])
-            .when(neutral & _one_of(before, rules.decreasing), -step["boost"])
+            F.when(_one_of(before, rules.increasing), step["boost"])
+            .when(_one_of(before, rules.decreasing), -step["boost"])
             .otherwise(F.lit(0.0))
         )
         negates = _one_of(before, rules.negations)
         if rules.contraction:
             negates = negates | before.contains("n't")
-        factor = F.when(neutral & negates, F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0))
-        return (valence + F.when(valence < 0, -boost).otherwise(boost)) * factor
+        boosted = valence + F.when(valence < 0, -boost).otherwise(boost)
+        turned = boosted * F.when(negates, F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0))
+        return F.when(neutral, turned).otherwise(valence)
 
     steps = F.array(
         *[

@@ -129,32 +129,31 @@ FEED_STANDINS = {
 }
 
 
-def vocabulary(spark: SparkSession, sf_dir: str, at_least: int) -> DataFrame:
-    """Plain words of the documents with their frequency."""
+def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain words that occur at least five times in the documents, with their frequency."""
     text = F.lower("text")
     words = given_texts(spark, sf_dir, "documents", "doc_id").select(
         F.explode(F.regexp_extract_all(text, F.lit("[a-z]{3,}"), F.lit(0))).alias("word")
     )
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return counted.filter(F.col("n") >= at_least)
+    return counted.filter(F.col("n") >= 5)
 
 
-def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lexicon(words: DataFrame) -> DataFrame:
     valence = (F.ascii(F.substring(F.md5(F.col("word").cast("binary")), 1, 1)) % 9 - 4).cast("double")
     return (
-        vocabulary(spark, sf_dir, 20)
-        .filter(~F.col("word").isin(RULE_WORDS))
+        words.filter((F.col("n") >= 20) & ~F.col("word").isin(RULE_WORDS))
         .select(F.col("word").alias("term"), valence.alias("valence"))
         .filter(F.col("valence") != 0)
     )
 
 
-def nouns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vocabulary(spark, sf_dir, 5).select(F.col("word").alias("lemma"))
+def nouns(words: DataFrame) -> DataFrame:
+    return words.select(F.col("word").alias("lemma"))
 
 
-def exceptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    five = nouns(spark, sf_dir).filter(F.length("lemma") == 5)
+def exceptions(words: DataFrame) -> DataFrame:
+    five = nouns(words).filter(F.length("lemma") == 5)
     return five.select(F.concat("lemma", F.lit("en")).alias("form"), "lemma")
 
 
@@ -174,10 +173,13 @@ class Standins:
 
     def lookup(self, name: str) -> DataFrame:
         if name not in self._made:
-            if name == "forms":
-                made = lemma_forms(self.lookup("nouns"), self.lookup("exceptions"))
+            if name == "vocabulary":
+                made = vocabulary(self.spark, self.sf_dir)
+            elif name == "forms":
+                words = self.lookup("vocabulary")
+                made = lemma_forms(nouns(words), exceptions(words))
             else:
-                made = {"lexicon": lexicon, "nouns": nouns, "exceptions": exceptions}[name](self.spark, self.sf_dir)
+                made = lexicon(self.lookup("vocabulary"))
             self._made[name] = materialize(made, name)
         return self._made[name]
 
