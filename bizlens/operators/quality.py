@@ -17,53 +17,78 @@ def _stack(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _report(df: DataFrame, check: str, table: str, counts: Mapping[str, Column]) -> DataFrame:
-    """All counts of one table in one pass, then one row per count."""
+def _report(df: DataFrame, table: str, counts: Mapping[tuple[str, str], Column]) -> DataFrame:
+    """All counts, keyed by (check, column), in one pass over ``df``; then one row per count."""
     one_row = df.agg(*[counted.alias(f"c{i}") for i, counted in enumerate(counts.values())])
-    rows = [
-        F.struct(
-            F.lit(check).alias("check"),
-            F.lit(table).alias("table"),
-            F.lit(column).alias("column"),
-            F.col(f"c{i}").alias("n"),
-        )
-        for i, column in enumerate(counts)
-    ]
-    return one_row.select(F.inline(F.array(*rows))).withColumn("passed", F.col("n") == 0)
+    rows = []
+    for i, (check, column) in enumerate(counts):
+        n = F.col(f"c{i}")
+        fields = {"check": F.lit(check), "table": F.lit(table), "column": F.lit(column), "n": n}
+        fields["passed"] = n > 0 if check == "rows" else n == 0
+        rows.append(F.struct(*[value.alias(name) for name, value in fields.items()]))
+    return one_row.select(F.inline(F.array(*rows)))
+
+
+Counts = dict[tuple[str, str], Column]
+
+
+def _nulls(columns: Iterable[str]) -> Counts:
+    return {("nulls", c): F.count_if(F.col(c).isNull()) for c in columns}
+
+
+def _domain(column: str, allowed: Iterable[str]) -> Counts:
+    return {("domain", column): F.count_if(~F.col(column).isin(list(allowed)))}
+
+
+def _rows() -> Counts:
+    return {("rows", "*"): F.count(F.lit(1))}
+
+
+def _lengths(table: str) -> Counts:
+    return {("length", c): F.count_if(F.length(c) > n) for c, n in TABLES[table].max_length.items()}
 
 
 def null_counts(tables: Mapping[str, DataFrame], pairs: Iterable[tuple[str, str]] | None = None) -> DataFrame:
     """Nulls per (table, column); by default every column declared NOT NULL."""
     if pairs is None:
-        pairs = [(name, c) for name in tables if name in TABLES for c in TABLES[name].not_null]
+        pairs = [(name, c) for name in tables for c in TABLES[name].not_null]
     by_table: dict[str, list[str]] = {}
     for table, column in pairs:
         by_table.setdefault(table, []).append(column)
-    return _stack(
-        _report(tables[t], "nulls", t, {c: F.count_if(F.col(c).isNull()) for c in columns})
-        for t, columns in by_table.items()
-    )
+    return _stack(_report(tables[t], t, _nulls(columns)) for t, columns in by_table.items())
 
 
 def domain_counts(
     tables: Mapping[str, DataFrame], column: str = "sentiment", allowed: Iterable[str] = LABELS
 ) -> DataFrame:
     """Values outside the allowed list; a null is not counted."""
-    outside = F.count_if(~F.col(column).isin(list(allowed)))
-    return _stack(_report(df, "domain", t, {column: outside}) for t, df in tables.items())
+    return _stack(_report(df, t, _domain(column, allowed)) for t, df in tables.items())
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per table; a table passes when it has any."""
-    return _stack(
-        _report(df, "rows", t, {"*": F.count(F.lit(1))}).withColumn("passed", F.col("n") > 0)
-        for t, df in tables.items()
-    )
+    return _stack(_report(df, t, _rows()) for t, df in tables.items())
+
+
+def too_long(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Values longer than the declared limit."""
+    return _stack(_report(df, t, _lengths(t)) for t, df in tables.items() if TABLES[t].max_length)
+
+
+def table_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Row, null, label and length checks of every table together, with one scan per table."""
+    reports = []
+    for name, df in tables.items():
+        counts = {**_rows(), **_nulls(TABLES[name].not_null), **_lengths(name)}
+        if "sentiment" in df.columns:
+            counts.update(_domain("sentiment", LABELS))
+        reports.append(_report(df, name, counts))
+    return _stack(reports)
 
 
 def missing_text(feeds: Mapping[str, DataFrame]) -> DataFrame:
     missing = F.count_if(F.col("text").isNull() | (F.length("text") == 0))
-    return _stack(_report(df, "missing_text", t, {"text": missing}) for t, df in feeds.items())
+    return _stack(_report(df, t, {("missing_text", "text"): missing}) for t, df in feeds.items())
 
 
 def broken_records(feeds: Mapping[str, DataFrame], keys: Mapping[str, str]) -> DataFrame:
@@ -71,13 +96,16 @@ def broken_records(feeds: Mapping[str, DataFrame], keys: Mapping[str, str]) -> D
     reports = []
     for name, feed in feeds.items():
         key, parsed = keys[name], F.col(CORRUPT).isNull()
-        counts = {CORRUPT: F.count_if(~parsed), key: F.count_if(parsed & F.col(key).isNull())}
-        reports.append(_report(feed, "broken", name, counts))
+        counts = {
+            ("broken", CORRUPT): F.count_if(~parsed),
+            ("broken", key): F.count_if(parsed & F.col(key).isNull()),
+        }
+        reports.append(_report(feed, name, counts))
     return _stack(reports)
 
 
 def closed_businesses(business_feed: DataFrame) -> DataFrame:
-    return _report(business_feed, "closed", "business", {"is_open": F.count_if(F.col("is_open") == 0)})
+    return _report(business_feed, "business", {("closed", "is_open"): F.count_if(F.col("is_open") == 0)})
 
 
 def duplicate_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -88,7 +116,7 @@ def duplicate_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
         if key is None:
             continue
         repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-        reports.append(_report(repeated, "duplicate_keys", name, {key: F.count(F.lit(1))}))
+        reports.append(_report(repeated, name, {("duplicate_keys", key): F.count(F.lit(1))}))
     return _stack(reports)
 
 
@@ -106,16 +134,5 @@ def orphans(tables: Mapping[str, DataFrame]) -> DataFrame:
             parents = tables[parent].select(F.col(TABLES[parent].key).alias(column))
             lost = per_key.join(parents, column, "left_anti")
             total = F.coalesce(F.sum("_n"), F.lit(0).cast("long"))
-            reports.append(_report(lost, f"orphans of {parent}", name, {column: total}))
+            reports.append(_report(lost, name, {(f"orphans of {parent}", column): total}))
     return _stack(reports)
-
-
-def too_long(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Values longer than the declared limit."""
-    return _stack(
-        _report(df, "length", name, {c: F.count_if(F.length(c) > n) for c, n in TABLES[name].max_length.items()})
-        for name, df in tables.items()
-        if TABLES[name].max_length
-    )
-
-

@@ -174,22 +174,38 @@ def _values_by_literals(df: DataFrame, grouped: dict[float, list[str]]) -> DataF
     )
 
 
-def _values_by_join(df: DataFrame, lexicon: DataFrame, text: str) -> DataFrame:
-    """Look words up by join, once per distinct text, and bring the values back to every row."""
-    texts = df.select(F.col(text).alias("_text"), "_words").filter(F.col("_text").isNotNull()).distinct()
-    keyed = texts.select(F.sha2("_text", 256).alias("_text_key"), "_words")
-    exploded = keyed.select("_text_key", F.posexplode("_words").alias("_at", "_word"))
+def _values_by_join(df: DataFrame, lexicon: DataFrame, key: str) -> DataFrame:
+    """Look words up by join; ``df`` has one row per ``key``, so a group is the words of one text."""
+    exploded = df.select(key, F.posexplode("_words").alias("_at", "_word"))
     entries = lexicon.select(F.col("term").alias("_word"), F.col("valence").cast("double").alias("_value"))
     valued = lookup_join(exploded, entries, "_word", "left", max_rows=0)
-    gathered = valued.groupBy("_text_key").agg(
+    gathered = valued.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("_at", "_value"))).alias("_pairs")
     )
-    values = gathered.select(
-        F.col("_text_key"), F.transform("_pairs", lambda p: p["_value"]).alias("_values")
+    values = gathered.select(key, F.transform("_pairs", lambda pair: pair["_value"]).alias("_values"))
+    return df.join(values, key, "left")
+
+
+def _scored(valued: DataFrame, columns: list[str], rules: Rules, text: str, into: str) -> DataFrame:
+    """Score rows that carry their words and, aligned with them, the words' valences."""
+    words, values = F.col("_words"), F.col("_values")
+    boosters = rules.increasing + rules.decreasing
+    contrast_at = (
+        F.array_position(F.transform(words, lambda w: _one_of(w, rules.contrast)), True).cast("int") - 1
+        if rules.contrast
+        else F.lit(-1)
     )
-    return lookup_join(
-        df.withColumn("_text_key", F.sha2(F.col(text), 256)), values, "_text_key", "left", max_rows=0
-    ).drop("_text_key")
+    positions = F.transform(values, lambda v, i: F.when(v.isNotNull(), i))
+    hits = F.filter(positions, lambda i: i.isNotNull() & ~_one_of(F.get(words, i), boosters))
+    located = valued.withColumns({"_contrast_at": contrast_at, "_hits": hits})
+    total = F.aggregate(
+        "_hits",
+        F.lit(0).cast("long"),
+        lambda acc, at: acc + _contribution(words, values, at, F.col("_contrast_at"), rules),
+    )
+    summed = located.withColumn("_total", F.coalesce(total, F.lit(0).cast("long")))
+    score = F.coalesce(_score(F.col("_total"), F.col(text), rules), F.lit(0.0))
+    return summed.select(*columns, score.alias(into))
 
 
 def score_sentiment(
@@ -203,31 +219,17 @@ def score_sentiment(
     """Add the column ``into``: 0.0 for a text without lexicon words.
 
     ``lexicon`` has unique ``term`` and ``valence``. A lexicon that measures small is written into
-    the plan as hashed sets, one per valence; a larger one is joined.
+    the plan as hashed sets, one per valence, and every row is scored in place. A larger one is
+    joined, word by word, once per distinct text; only the scores travel back to the rows.
     """
-    columns = df.columns
     grouped = None if by_join else _literal_lexicon(lexicon)
-    worded = df.withColumn("_words", sentiment_words(text))
-    if grouped is None:
-        valued = _values_by_join(worded, lexicon, text)
-    else:
-        valued = _values_by_literals(worded, grouped)
-    words, values = F.col("_words"), F.col("_values")
-    boosters = rules.increasing + rules.decreasing
-    contrast_at = (
-        F.array_position(F.transform(words, lambda w: _one_of(w, rules.contrast)), True).cast("int") - 1
-        if rules.contrast
-        else F.lit(-1)
-    )
-    positions = F.transform(values, lambda v, i: F.when(v.isNotNull(), i))
-    scored = valued.withColumn("_contrast_at", contrast_at).withColumn(
-        "_hits",
-        F.filter(positions, lambda i: i.isNotNull() & ~_one_of(F.get(words, i), boosters)),
-    )
-    total = F.aggregate(
-        "_hits",
-        F.lit(0).cast("long"),
-        lambda acc, at: acc + _contribution(words, values, at, F.col("_contrast_at"), rules),
-    )
-    scored = scored.withColumn("_total", F.coalesce(total, F.lit(0).cast("long")))
-    return scored.select(*columns, F.coalesce(_score(F.col("_total"), F.col(text), rules), F.lit(0.0)).alias(into))
+    if grouped is not None:
+        valued = _values_by_literals(df.withColumn("_words", sentiment_words(text)), grouped)
+        return _scored(valued, df.columns, rules, text, into)
+    key = F.sha2(F.col(text), 256)
+    texts = df.select(text).filter(F.col(text).isNotNull()).distinct()
+    worded = texts.select(key.alias("_text_key"), text, sentiment_words(text).alias("_words"))
+    valued = _values_by_join(worded, lexicon, "_text_key")
+    scores = _scored(valued, ["_text_key"], rules, text, into)
+    joined = lookup_join(df.withColumn("_text_key", key), scores, "_text_key", "left")
+    return joined.select(*df.columns, F.coalesce(into, F.lit(0.0)).alias(into))

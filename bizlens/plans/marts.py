@@ -15,6 +15,12 @@ from bizlens.operators.words import word_table
 from bizlens.sources.feeds import good_records
 from bizlens.sources.tables import write_table
 
+CLUSTERS = {
+    "review": ("business_id", "review_id"),
+    "tip": ("business_id", "tip_id"),
+    "checkin": ("business_id", "date"),
+}
+
 
 def business(feed: DataFrame) -> DataFrame:
     return clean.open_businesses(feed).select(
@@ -153,10 +159,14 @@ def write_all(
     root: str,
     forms: DataFrame | None = None,
     stop_words: DataFrame | None = None,
+    cluster: bool = False,
     **lookups,
 ) -> dict[str, DataFrame]:
     """Write all tables below ``root`` and return them as read back.
 
+    With ``cluster=True`` reviews, tips and check-ins are sorted by business over all files: one
+    shuffle at load time, and questions about one business then read few row groups.
+
     The word tables are computed from the written review and tip tables, so each raw text is
     parsed, cleaned and lower-cased once, and nothing has to be cached.
     """
@@ -166,5 +176,6 @@ def write_all(
         for table, df in feed_tables(name, feed, **lookups).items():
             if name in text_tables and table == f"{name}_text":
                 df = text_tables[name](written[name], forms, stop_words)
-            written[table] = write_table(df, f"{root}/{table}")
+            order = CLUSTERS.get(table, ()) if cluster else ()
+            written[table] = write_table(df, f"{root}/{table}", cluster_by=order)
     return written

@@ -10,6 +10,7 @@ import re
 
 from bizlens.functions.text import STOP_WORDS, TOKEN_PATTERN
 from bizlens.operators import sentiment as rules
+from bizlens.schemas import TABLES
 from checks.standins import BUSINESS, RULE_WORDS, STANDIN_RULES
 
 _TS = "'%Y-%m-%d %H:%M:%S'"
@@ -388,7 +389,6 @@ FINALS: dict[str, str] = {
         _orphans("tip_text", "tip_id", "tip", "tip_id"), _orphans("checkin", "business_id", "business", "business_id"),
         _orphans("user_elite", "user_id", "user", "user_id"), _orphans("user_friend", "user_id", "user", "user_id"),
     ]),
-    "dq_length": None,
     "dq_quarantine": """SELECT '_corrupt_record' AS "column", count(*) AS n FROM review_feed WHERE doc_id % 59 = 0
         UNION ALL SELECT 'review_id', count(*) FROM review_feed WHERE doc_id % 59 <> 0 AND review_id IS NULL
         UNION ALL SELECT 'quarantine', count(*) FROM review_feed WHERE doc_id % 59 = 0""",
@@ -409,8 +409,6 @@ FINALS: dict[str, str] = {
 
 
 def _lengths() -> str:
-    from bizlens.schemas import TABLES
-
     return _union(
         _check("length", t, c, f"count(*) FILTER (length({c}) > {limit})", _SOURCE.get(t, t))
         for t in _TABLES for c, limit in TABLES[t].max_length.items()
@@ -418,6 +416,13 @@ def _lengths() -> str:
 
 
 FINALS["dq_length"] = _lengths()
+FINALS["dq_table_report"] = _union([
+    FINALS["dq_row_counts"],
+    _lengths(),
+    *(_nulls(t, c, _SOURCE.get(t, t)) for t in _TABLES for c in TABLES[t].not_null),
+    *(_check("domain", t, "sentiment", "count(*) FILTER (sentiment NOT IN ('POSITIVE', 'NEGATIVE', 'NEUTRAL'))", t)
+      for t in ("review", "tip")),
+])
 
 
 def oracle_sql() -> dict[str, str]:

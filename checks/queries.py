@@ -404,6 +404,11 @@ def dq_length(s: Standins) -> DataFrame:
     return quality.too_long(s.tables(*_ALL_TABLES))
 
 
+@registered
+def dq_table_report(s: Standins) -> DataFrame:
+    return quality.table_report(s.tables(*_ALL_TABLES))
+
+
 @registered
 def dq_quarantine(s: Standins) -> DataFrame:
     """Every 59th record is cut in half; good and broken records are counted, the broken ones kept."""

@@ -1,10 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 
 from bizlens import session
 from bizlens.plans import insights
 from bizlens.schemas import TABLES, create_tables
 from bizlens.session import materialize, new_folder, scratch_root
-from bizlens.sources.tables import append_table, preview, read_tables, register, sql, write_bucketed, write_table
+from bizlens.sources.tables import append_table, preview, read_tables, register, save_bucketed, sql, write_bucketed, write_table
 from tests.conftest import plan, rows
 
 
@@ -45,6 +46,33 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_distribution_keys_bucket_parent_and_child_alike(spark, tmp_path):
+    tables = {
+        "user": spark.createDataFrame([("u1", "Ann")], "user_id string, name string"),
+        "user_elite": spark.createDataFrame([("u1", 2018)], "user_id string, year int"),
+    }
+    saved = save_bucketed(tables, str(tmp_path), 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = saved["user"].join(saved["user_elite"], "user_id")
+        assert "Exchange" not in plan(joined) and rows(joined) == [("u1", "Ann", 2018)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_clustered_write_keeps_rows_and_order(spark, tmp_path):
+    df = spark.range(1000).selectExpr("if(id % 3 = 0, 'hot', concat('b', id % 50)) business_id", "id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        written = write_table(df, f"{tmp_path}/c", cluster_by=["business_id", "id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert rows(written) == rows(df)
+    files = written.groupBy(F.input_file_name()).agg(F.min("business_id"), F.max("business_id")).collect()
+    spans = sorted((r[1], r[2]) for r in files)
+    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_sql_parameters_are_values(spark):
     register({"business": spark.createDataFrame([("b1",), ("' or 1=1 --",)], "business_id string")})
     text = "select count(*) n from business where business_id = :id"
