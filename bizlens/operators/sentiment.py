@@ -6,6 +6,7 @@ billionths, which makes the sum independent of the order of addition.
 
 from __future__ import annotations
 
+import string
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -42,7 +43,7 @@ CONTRAST = ("but",)
 
 # Blanks that separate words, and punctuation stripped from word edges.
 _BLANK = r" \t\n\r\f\x0B\p{Z}"
-_SIGN = r"!-/:-@\[-`{-~"
+_SIGN = "".join(f"\\{sign}" for sign in string.punctuation)
 # A run of non-blanks without the signs around it, or the whole run when it is signs only.
 _WORD = (
     rf"(?:[{_SIGN}]+(?=[^{_BLANK}{_SIGN}]))?"
@@ -74,43 +75,64 @@ def sentiment_words(text: Column | str) -> Column:
     return F.filter(F.regexp_extract_all(text, F.lit(_WORD), F.lit(1)), lambda word: F.length(word) > 1)
 
 
-def _one_of(word: Column, listed: tuple[str, ...]) -> Column:
-    return word.isin(list(listed)) if listed else F.lit(False)
+# Marks of words that carry no valence of their own lie above every valence; flags are added to it.
+_MARK = 1e6
+_UP, _DOWN, _NEGATES, _MUTE = 1, 2, 4, 8
 
 
-def _contribution(words: Column, values: Column, at: Column, contrast_at: Column, rules: Rules) -> Column:
-    """Valence of the word at index ``at`` after its surroundings, in billionths."""
+def _flags(word: Column, rules: Rules) -> Column:
+    """The mark of a word outside the lexicon; null for an ordinary word."""
+    sets = {_UP: rules.increasing, _DOWN: rules.decreasing, _NEGATES: rules.negations}
+    listed = sorted({w for terms in sets.values() for w in terms})
+    flags: Column = F.lit(None).cast("double")
+    if listed:
+        total = sum(
+            (F.when(word.isin(list(terms)), flag).otherwise(0) for flag, terms in sets.items() if terms), F.lit(0)
+        )
+        flags = F.when(word.isin(listed), total + _MARK)
+    if rules.contraction:
+        flags = F.coalesce(flags, F.when(word.contains("n't"), F.lit(_MARK + _NEGATES)))
+    return flags
+
 
-    def look_back(valence: Column, step: Column) -> Column:
-        place = at - step["distance"]
-        before = F.get(words, place)
-        neutral = before.isNotNull() & F.get(values, place).isNull()
-        boost = (
-            F.when(_one_of(before, rules.increasing), step["boost"])
-            .when(_one_of(before, rules.decreasing), -step["boost"])
-            .otherwise(F.lit(0.0))
+def _mute(rules: Rules) -> list[str]:
+    """Boosters count as known words but never carry valence."""
+    return sorted({*rules.increasing, *rules.decreasing})
+
+
+def _contribution(marks: Column, at: Column, contrast_at: Column, rules: Rules) -> Column:
+    """Valence of the word at index ``at`` after its surroundings, in billionths."""
+    valence = F.get(marks, at)
+    if rules.negations or rules.contraction or rules.increasing or rules.decreasing:
+        before = [F.get(marks, at - distance) for distance in (1, 2, 3)]
+
+        def has(mark: Column, flag: int) -> Column:
+            return (mark - _MARK).cast("int").bitwiseAND(flag) != 0
+
+        def look_back(value: Column, step: Column) -> Column:
+            mark = step["mark"]
+            boost = F.when(has(mark, _UP), step["boost"]).when(has(mark, _DOWN), -step["boost"]).otherwise(F.lit(0.0))
+            factor = F.when(has(mark, _NEGATES), F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0))
+            changed = (value + F.when(value < 0, -boost).otherwise(boost)) * factor
+            return F.when(mark >= _MARK, changed).otherwise(value)
+
+        steps = F.array(
+            *[
+                F.struct(mark.alias("mark"), F.lit(BOOST * weight).alias("boost"))
+                for mark, weight in zip(before, BOOST_BY_DISTANCE)
+            ]
         )
-        negates = _one_of(before, rules.negations)
-        if rules.contraction:
-            negates = negates | before.contains("n't")
-        boosted = valence + F.when(valence < 0, -boost).otherwise(boost)
-        turned = boosted * F.when(negates, F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0))
-        return F.when(neutral, turned).otherwise(valence)
-
-    steps = F.array(
-        *[
-            F.struct(F.lit(distance).alias("distance"), F.lit(BOOST * weight).alias("boost"))
-            for distance, weight in enumerate(BOOST_BY_DISTANCE, start=1)
-        ]
-    )
-    valence = F.aggregate(steps, F.get(values, at), look_back)
-    factor = (
-        F.when(contrast_at < 0, F.lit(1.0))
-        .when(at < contrast_at, F.lit(BEFORE_CONTRAST))
-        .when(at > contrast_at, F.lit(AFTER_CONTRAST))
-        .otherwise(F.lit(1.0))
-    )
-    return F.floor(valence * factor * 1e9 + 0.5).cast("long")
+        marked = (before[0] >= _MARK) | (before[1] >= _MARK) | (before[2] >= _MARK)
+        valence = F.when(marked, F.aggregate(steps, valence, look_back)).otherwise(valence)
+    if rules.contrast:
+        factor = (
+            F.when(contrast_at < 0, F.lit(1.0))
+            .when(at < contrast_at, F.lit(BEFORE_CONTRAST))
+            .when(at > contrast_at, F.lit(AFTER_CONTRAST))
+            .otherwise(F.lit(1.0))
+        )
+        valence = valence * factor
+    return F.floor(valence * 1e9 + 0.5).cast("long")
 
 
 def _emphasis(text: Column) -> Column:
@@ -162,46 +184,53 @@ def _in_list(name: str, terms: list[str]) -> str:
     return f"{name} IN ({quoted})"
 
 
-def _values_by_literals(df: DataFrame, grouped: dict[float, list[str]]) -> DataFrame:
+def _marks_by_literals(df: DataFrame, grouped: dict[float, list[str]], rules: Rules) -> DataFrame:
+    """Per word its valence, or the mark of a word that acts on others, or null."""
+    ordinary = F.transform("_words", lambda word: _flags(word, rules))
     if not grouped:
-        return df.withColumn("_values", F.transform("_words", lambda _: F.lit(None).cast("double")))
-    known = _in_list("w", sorted(t for terms in grouped.values() for t in terms))
-    branches = " ".join(
-        f"WHEN {_in_list('w', sorted(terms))} THEN {value!r}D" for value, terms in sorted(grouped.items())
-    )
-    return df.withColumn(
-        "_values", F.expr(f"transform(_words, w -> CASE WHEN {known} THEN CASE {branches} END END)")
+        return df.withColumn("_marks", ordinary)
+    mute = set(_mute(rules))
+    sets: dict[float, list[str]] = {}
+    for value, terms in grouped.items():
+        for term in terms:
+            sets.setdefault(_MARK + _MUTE if term in mute else value, []).append(term)
+    known = _in_list("w", sorted(t for terms in sets.values() for t in terms))
+    by_size = sorted(sets.items(), key=lambda entry: (-len(entry[1]), entry[0]))
+    branches = " ".join(f"WHEN {_in_list('w', sorted(terms))} THEN {value!r}D" for value, terms in by_size)
+    valued = F.expr(f"transform(_words, w -> CASE WHEN {known} THEN CASE {branches} END END)")
+    return df.withColumn("_values", valued).withColumn(
+        "_marks", F.transform("_values", lambda value, i: F.coalesce(value, _flags(F.get("_words", i), rules)))
     )
 
 
-def _values_by_join(df: DataFrame, lexicon: DataFrame, key: str) -> DataFrame:
-    """Look words up by join; ``df`` has one row per ``key``, so a group is the words of one text."""
+def _marks_by_join(df: DataFrame, lexicon: DataFrame, rules: Rules, key: str) -> DataFrame:
+    """The same by join; ``df`` has one row per ``key``, so a group is the words of one text."""
     exploded = df.select(key, F.posexplode("_words").alias("_at", "_word"))
-    entries = lexicon.select(F.col("term").alias("_word"), F.col("valence").cast("double").alias("_value"))
-    valued = lookup_join(exploded, entries, "_word", "left", max_rows=0)
-    gathered = valued.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("_at", "_value"))).alias("_pairs")
+    entries = lexicon.select(
+        F.col("term").alias("_word"),
+        F.when(F.col("term").isin(_mute(rules)), F.lit(_MARK + _MUTE))
+        .otherwise(F.col("valence").cast("double"))
+        .alias("_value"),
     )
-    values = gathered.select(key, F.transform("_pairs", lambda pair: pair["_value"]).alias("_values"))
-    return df.join(values, key, "left")
-
-
-def _scored(valued: DataFrame, columns: list[str], rules: Rules, text: str, into: str) -> DataFrame:
-    """Score rows that carry their words and, aligned with them, the words' valences."""
-    words, values = F.col("_words"), F.col("_values")
-    boosters = rules.increasing + rules.decreasing
-    contrast_at = (
-        F.array_position(F.transform(words, lambda w: _one_of(w, rules.contrast)), True).cast("int") - 1
-        if rules.contrast
-        else F.lit(-1)
+    valued = lookup_join(exploded, entries, "_word", "left", max_rows=0)
+    marked = valued.select(key, "_at", F.coalesce("_value", _flags(F.col("_word"), rules)).alias("_mark"))
+    gathered = marked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_at", "_mark"))).alias("_pairs"))
+    marks = gathered.select(key, F.transform("_pairs", lambda pair: pair["_mark"]).alias("_marks"))
+    return df.join(marks, key, "left")
+
+
+def _scored(marked: DataFrame, columns: list[str], rules: Rules, text: str, into: str) -> DataFrame:
+    """Score rows that carry their words and, aligned with them, the words' marks."""
+    places = [F.nullif(F.array_position("_words", word), F.lit(0)) for word in rules.contrast]
+    first = F.coalesce(F.array_min(F.array(*places)), F.lit(0)).cast("int") - 1 if places else F.lit(-1)
+    places_of_value = F.transform("_marks", lambda mark, i: F.when(mark < _MARK, i))
+    located = marked.withColumns(
+        {"_contrast_at": first, "_hits": F.filter(places_of_value, lambda i: i.isNotNull())}
     )
-    positions = F.transform(values, lambda v, i: F.when(v.isNotNull(), i))
-    hits = F.filter(positions, lambda i: i.isNotNull() & ~_one_of(F.get(words, i), boosters))
-    located = valued.withColumns({"_contrast_at": contrast_at, "_hits": hits})
     total = F.aggregate(
         "_hits",
         F.lit(0).cast("long"),
-        lambda acc, at: acc + _contribution(words, values, at, F.col("_contrast_at"), rules),
+        lambda acc, at: acc + _contribution(F.col("_marks"), at, F.col("_contrast_at"), rules),
     )
     summed = located.withColumn("_total", F.coalesce(total, F.lit(0).cast("long")))
     score = F.coalesce(_score(F.col("_total"), F.col(text), rules), F.lit(0.0))
@@ -224,12 +253,12 @@ def score_sentiment(
     """
     grouped = None if by_join else _literal_lexicon(lexicon)
     if grouped is not None:
-        valued = _values_by_literals(df.withColumn("_words", sentiment_words(text)), grouped)
-        return _scored(valued, df.columns, rules, text, into)
+        marked = _marks_by_literals(df.withColumn("_words", sentiment_words(text)), grouped, rules)
+        return _scored(marked, df.columns, rules, text, into)
     key = F.sha2(F.col(text), 256)
     texts = df.select(text).filter(F.col(text).isNotNull()).distinct()
     worded = texts.select(key.alias("_text_key"), text, sentiment_words(text).alias("_words"))
-    valued = _values_by_join(worded, lexicon, "_text_key")
-    scores = _scored(valued, ["_text_key"], rules, text, into)
+    marked = _marks_by_join(worded, lexicon, rules, "_text_key")
+    scores = _scored(marked, ["_text_key"], rules, text, into)
     joined = lookup_join(df.withColumn("_text_key", key), scores, "_text_key", "left")
     return joined.select(*df.columns, F.coalesce(into, F.lit(0.0)).alias(into))

@@ -63,6 +63,16 @@ def test_scores_as_by_hand(spark, lexicon, by_join, full):
     assert found == {i: pytest.approx(by_hand(t, full), abs=1e-4) for i, t in enumerate(made)}
 
 
+@pytest.mark.parametrize("by_join", [False, True])
+def test_words_that_are_both_known_and_acting(spark, by_join):
+    known = {**LEXICON, "very": 1.0, "but": -0.5, "not": 0.3, "never": -1.0, "food": 0.0}
+    lexicon = spark.createDataFrame(list(known.items()), "term string, valence double")
+    made = texts()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(made)], "id int, text string")
+    found = {r["id"]: r["score"] for r in score_sentiment(df, lexicon, by_join=by_join).collect()}
+    assert found == {i: pytest.approx(by_hand(t, lexicon=known), abs=1e-4) for i, t in enumerate(made)}
+
+
 @pytest.mark.parametrize("by_join", [False, True])
 def test_missing_text_and_copies(spark, lexicon, by_join):
     df = spark.createDataFrame([("1", None), ("2", "good"), ("2", "good"), ("2", "bad"), ("3", "nothing here")], "id string, text string")
