@@ -6,6 +6,7 @@ billionths, which makes the sum independent of the order of addition.
 
 from __future__ import annotations
 
+import json
 import string
 from dataclasses import dataclass
 
@@ -51,7 +52,6 @@ _WORD = (
 )
 
 MAX_LITERAL_TERMS = 50_000
-MAX_LITERAL_VALUES = 256
 
 
 @dataclass(frozen=True)
@@ -167,53 +167,41 @@ def label(score: Column | str) -> Column:
     )
 
 
-def _literal_lexicon(lexicon: DataFrame) -> dict[float, list[str]] | None:
-    """The lexicon grouped by valence when it is small enough to write into the plan, else None."""
-    terms, values = lexicon.agg(F.count("term"), F.count_distinct("valence")).first()
-    if terms > MAX_LITERAL_TERMS or values > MAX_LITERAL_VALUES:
-        return None
-    grouped: dict[float, list[str]] = {}
-    for term, valence in lexicon.select("term", F.col("valence").cast("double")).collect():
-        if term is not None and valence is not None:
-            grouped.setdefault(valence, []).append(term)
-    return grouped
+def _entries(lexicon: DataFrame, rules: Rules) -> DataFrame:
+    """(term, mark) with one row per term: its highest valence, or the mute mark for boosters."""
+    valued = lexicon.groupBy("term").agg(F.max(F.col("valence").cast("double")).alias("mark"))
+    mark = F.when(F.col("term").isin(_mute(rules)), F.lit(_MARK + _MUTE)).otherwise(F.col("mark"))
+    return valued.filter(F.col("term").isNotNull() & F.col("mark").isNotNull()).select("term", mark.alias("mark"))
 
 
-def _in_list(name: str, terms: list[str]) -> str:
-    quoted = ",".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in terms)
-    return f"{name} IN ({quoted})"
+def _literal_table(entries: DataFrame) -> Column | None:
+    """The entries as a literal array of small maps, addressed by the term's hash; None when too many."""
+    terms = entries.count()
+    if terms > MAX_LITERAL_TERMS:
+        return None
+    buckets: list[dict[str, float]] = [{} for _ in range(max(terms, 1))]
+    placed = entries.select(F.pmod(F.hash("term"), F.lit(len(buckets))), "term", "mark")
+    for bucket, term, mark in placed.collect():
+        buckets[bucket][term] = mark
+    table = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,double>>")
+    return F.struct(table.alias("buckets"), F.lit(len(buckets)).alias("size"))
 
 
-def _marks_by_literals(df: DataFrame, grouped: dict[float, list[str]], rules: Rules) -> DataFrame:
+def _marks_by_literals(df: DataFrame, table: Column, rules: Rules) -> DataFrame:
     """Per word its valence, or the mark of a word that acts on others, or null."""
-    ordinary = F.transform("_words", lambda word: _flags(word, rules))
-    if not grouped:
-        return df.withColumn("_marks", ordinary)
-    mute = set(_mute(rules))
-    sets: dict[float, list[str]] = {}
-    for value, terms in grouped.items():
-        for term in terms:
-            sets.setdefault(_MARK + _MUTE if term in mute else value, []).append(term)
-    known = _in_list("w", sorted(t for terms in sets.values() for t in terms))
-    by_size = sorted(sets.items(), key=lambda entry: (-len(entry[1]), entry[0]))
-    branches = " ".join(f"WHEN {_in_list('w', sorted(terms))} THEN {value!r}D" for value, terms in by_size)
-    valued = F.expr(f"transform(_words, w -> CASE WHEN {known} THEN CASE {branches} END END)")
-    return df.withColumn("_values", valued).withColumn(
-        "_marks", F.transform("_values", lambda value, i: F.coalesce(value, _flags(F.get("_words", i), rules)))
-    )
 
+    def mark(word: Column) -> Column:
+        bucket = F.get(table["buckets"], F.pmod(F.hash(word), table["size"]))
+        return F.coalesce(F.try_element_at(bucket, word), _flags(word, rules))
 
-def _marks_by_join(df: DataFrame, lexicon: DataFrame, rules: Rules, key: str) -> DataFrame:
+    return df.withColumn("_marks", F.transform("_words", mark))
+
+
+def _marks_by_join(df: DataFrame, entries: DataFrame, rules: Rules, key: str) -> DataFrame:
     """The same by join; ``df`` has one row per ``key``, so a group is the words of one text."""
     exploded = df.select(key, F.posexplode("_words").alias("_at", "_word"))
-    entries = lexicon.select(
-        F.col("term").alias("_word"),
-        F.when(F.col("term").isin(_mute(rules)), F.lit(_MARK + _MUTE))
-        .otherwise(F.col("valence").cast("double"))
-        .alias("_value"),
-    )
-    valued = lookup_join(exploded, entries, "_word", "left", max_rows=0)
-    marked = valued.select(key, "_at", F.coalesce("_value", _flags(F.col("_word"), rules)).alias("_mark"))
+    valued = lookup_join(exploded, entries.select(F.col("term").alias("_word"), "mark"), "_word", "left", max_rows=0)
+    marked = valued.select(key, "_at", F.coalesce("mark", _flags(F.col("_word"), rules)).alias("_mark"))
     gathered = marked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_at", "_mark"))).alias("_pairs"))
     marks = gathered.select(key, F.transform("_pairs", lambda pair: pair["_mark"]).alias("_marks"))
     return df.join(marks, key, "left")
@@ -247,18 +235,19 @@ def score_sentiment(
 ) -> DataFrame:
     """Add the column ``into``: 0.0 for a text without lexicon words.
 
-    ``lexicon`` has unique ``term`` and ``valence``. A lexicon that measures small is written into
-    the plan as hashed sets, one per valence, and every row is scored in place. A larger one is
-    joined, word by word, once per distinct text; only the scores travel back to the rows.
+    ``lexicon`` has ``term`` and ``valence``. One that measures small is written into the plan and
+    every row is scored in place. A larger one is joined, word by word, once per distinct text; only
+    the scores travel back to the rows.
     """
-    grouped = None if by_join else _literal_lexicon(lexicon)
-    if grouped is not None:
-        marked = _marks_by_literals(df.withColumn("_words", sentiment_words(text)), grouped, rules)
+    entries = _entries(lexicon, rules)
+    table = None if by_join else _literal_table(entries)
+    if table is not None:
+        marked = _marks_by_literals(df.withColumn("_words", sentiment_words(text)), table, rules)
         return _scored(marked, df.columns, rules, text, into)
     key = F.sha2(F.col(text), 256)
     texts = df.select(text).filter(F.col(text).isNotNull()).distinct()
     worded = texts.select(key.alias("_text_key"), text, sentiment_words(text).alias("_words"))
-    marked = _marks_by_join(worded, lexicon, rules, "_text_key")
+    marked = _marks_by_join(worded, entries, rules, "_text_key")
     scores = _scored(marked, ["_text_key"], rules, text, into)
     joined = lookup_join(df.withColumn("_text_key", key), scores, "_text_key", "left")
     return joined.select(*df.columns, F.coalesce(into, F.lit(0.0)).alias(into))
