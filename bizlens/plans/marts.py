@@ -114,16 +114,17 @@ def tip_text(
     return word_table(staged, "tip_id", forms, stop_words)
 
 
+WORD_TABLES = {"review": review_text, "tip": tip_text}
+
+
 def feed_tables(
     name: str,
     feed: DataFrame,
     lexicon: DataFrame | None = None,
-    forms: DataFrame | None = None,
-    stop_words: DataFrame | None = None,
     rules: Rules = Rules(),
     id_salt: str = "",
 ) -> dict[str, DataFrame]:
-    """The tables one feed produces, as lazy plans."""
+    """The tables one feed produces, as lazy plans; word tables are made from these by ``WORD_TABLES``."""
     feed = good_records(feed)
     if name == "business":
         return {"business": business(feed), "business_category": business_category(feed)}
@@ -131,26 +132,27 @@ def feed_tables(
         return {"checkin": checkin(feed)}
     if name == "user":
         return {"user": user(feed), "user_elite": user_elite(feed), "user_friend": user_friend(feed)}
+    if name not in WORD_TABLES:
+        raise ValueError(f"unknown feed: {name}")
     if lexicon is None:
         raise ValueError(f"the {name} feed needs a sentiment lexicon")
     if name == "review":
-        return {
-            "review": review(feed, lexicon, rules),
-            "review_text": review_text(review_staging(feed), forms, stop_words),
-        }
-    if name == "tip":
-        return {
-            "tip": tip(feed, lexicon, rules, id_salt),
-            "tip_text": tip_text(tip_staging(feed, id_salt), forms, stop_words),
-        }
-    raise ValueError(f"unknown feed: {name}")
-
-
-def build_all(feeds: Mapping[str, DataFrame], **lookups) -> dict[str, DataFrame]:
+        return {"review": review(feed, lexicon, rules)}
+    return {"tip": tip(feed, lexicon, rules, id_salt)}
+
+
+def build_all(
+    feeds: Mapping[str, DataFrame],
+    forms: DataFrame | None = None,
+    stop_words: DataFrame | None = None,
+    **lookups,
+) -> dict[str, DataFrame]:
     """All tables of the given feeds, as lazy plans."""
     tables: dict[str, DataFrame] = {}
     for name, feed in feeds.items():
         tables.update(feed_tables(name, feed, **lookups))
+        if name in WORD_TABLES:
+            tables[f"{name}_text"] = WORD_TABLES[name](tables[name], forms, stop_words)
     return tables
 
 
@@ -170,12 +172,12 @@ def write_all(
     The word tables are computed from the written review and tip tables, so each raw text is
     parsed, cleaned and lower-cased once, and nothing has to be cached.
     """
-    text_tables = {"review": review_text, "tip": tip_text}
     written: dict[str, DataFrame] = {}
     for name, feed in feeds.items():
         for table, df in feed_tables(name, feed, **lookups).items():
-            if name in text_tables and table == f"{name}_text":
-                df = text_tables[name](written[name], forms, stop_words)
             order = CLUSTERS.get(table, ()) if cluster else ()
             written[table] = write_table(df, f"{root}/{table}", cluster_by=order)
+        if name in WORD_TABLES:
+            words = WORD_TABLES[name](written[name], forms, stop_words)
+            written[f"{name}_text"] = write_table(words, f"{root}/{name}_text")
     return written

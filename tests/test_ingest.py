@@ -4,6 +4,7 @@ import pytest
 
 from bizlens.plans import marts
 from bizlens.schemas import FEED_TABLES
+from bizlens.sources.feeds import read_feed
 from bizlens.streaming.ingest import FeedLoader, ingest_all, next_file, read_ledger, start_ingest
 from tests.conftest import rows
 
@@ -71,9 +72,7 @@ def test_five_feeds_side_by_side_equal_a_batch_load(spark, tmp_path, lexicon):
     ingest_all(spark, paths, f"{tmp_path}/out", f"{tmp_path}/cp", lexicon=lexicon)
     assert {r["script_name"] for r in read_ledger(spark, f"{tmp_path}/out").collect()} == set(FEED_TABLES)
     for feed, names in FEED_TABLES.items():
-        from bizlens.sources.feeds import read_feed
-
-        plans = marts.feed_tables(feed, read_feed(spark, feed, paths[feed]), lexicon, id_salt="batch 0")
+        plans = marts.build_all({feed: read_feed(spark, feed, paths[feed])}, lexicon=lexicon, id_salt="batch 0")
         for name in names:
             loaded = spark.read.parquet(f"{tmp_path}/out/{name}").drop("batch_id")
             assert rows(loaded) == rows(plans[name]), name

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from bizlens.operators.expand import with_stable_id
+from bizlens.operators.expand import explode_list, with_stable_id
 from bizlens.operators.sentiment import Rules
 from bizlens.plans import marts
 from bizlens.schemas import TABLES
@@ -37,6 +37,17 @@ def test_typed_arrays_need_no_split(spark):
     assert len(rows(marts.business_category(feed, drop_empty=False))) == 3
 
 
+def test_lists_that_only_look_like_json(spark):
+    lists = ["[Sic] Bar, Cafe", '["a", "b"', '["x, y", "z"]', " [1, 2]", "a,b , c", "[]", ""]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(lists)], "id string, items string")
+    found = {}
+    for key, item in rows(explode_list(df, "id", "items", "item")):
+        found.setdefault(key, set()).add(item)
+    assert found == {
+        "0": {"[Sic] Bar", "Cafe"}, "1": {'["a"', '"b"'}, "2": {"x, y", "z"}, "3": {"1", "2"}, "4": {"a", "b", "c"},
+    }
+
+
 REVIEWS = [
     ("r1", "u1", "b1", 5.0, "2018-01-02 10:00:00", "It's GREAT, don't miss $5.99 (tacos)!! 12"),
     ("r2", "u1", "b1", 1.0, "2018-01-02", "12 . ok"),
