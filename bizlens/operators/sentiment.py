@@ -105,16 +105,15 @@ def _contribution(marks: Column, at: Column, contrast_at: Column, rules: Rules)
     valence = F.get(marks, at)
     if rules.negations or rules.contraction or rules.increasing or rules.decreasing:
         before = [F.get(marks, at - distance) for distance in (1, 2, 3)]
-
-        def has(mark: Column, flag: int) -> Column:
-            return (mark - _MARK).cast("int").bitwiseAND(flag) != 0
+        codes = range(_MUTE + 1)
+        direction = F.array(*[F.lit(1.0 if c & _UP else -1.0 if c & _DOWN else 0.0) for c in codes])
+        turning = F.array(*[F.lit(NEGATION_FACTOR if c & _NEGATES else 1.0) for c in codes])
 
         def look_back(value: Column, step: Column) -> Column:
-            mark = step["mark"]
-            boost = F.when(has(mark, _UP), step["boost"]).when(has(mark, _DOWN), -step["boost"]).otherwise(F.lit(0.0))
-            factor = F.when(has(mark, _NEGATES), F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0))
-            changed = (value + F.when(value < 0, -boost).otherwise(boost)) * factor
-            return F.when(mark >= _MARK, changed).otherwise(value)
+            code = (step["mark"] - _MARK).cast("int")
+            boost = F.get(direction, code) * step["boost"]
+            changed = (value + F.when(value < 0, -boost).otherwise(boost)) * F.get(turning, code)
+            return F.when(step["mark"] >= _MARK, changed).otherwise(value)
 
         steps = F.array(
             *[
