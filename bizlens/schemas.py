@@ -48,7 +48,7 @@ FEEDS: dict[str, T.StructType] = {
     ),
     "tip": _feed("text string, date string, compliment_count int, business_id string, user_id string"),
     "user": _feed(
-        "user_id string, name string, review_count int, yelping_since string, friends string, elite string"
+        "user_id string, name string, review_count int, friends string, elite string"
     ),
 }
 

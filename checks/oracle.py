@@ -63,7 +63,7 @@ CTES: dict[str, str] = {
         WHERE role = 'user' AND (copy = 1 OR conv_id % 3 = 0)""",
     "user_feed": """
         SELECT CASE WHEN c_custkey % 71 <> 3 THEN CAST(c_custkey AS VARCHAR) END AS user_id, c_name AS name,
-               CAST(c_custkey % 100 AS INTEGER) AS review_count, '2011-01-01' AS yelping_since,
+               CAST(c_custkey % 100 AS INTEGER) AS review_count,
                CASE c_custkey % 3 WHEN 0 THEN (c_custkey + 4) || ', ' || (c_custkey + 8) || ', ' || (c_custkey + 2)
                                   WHEN 1 THEN '' END AS friends,
                CASE WHEN c_custkey % 29 = 6 THEN 'None' WHEN c_custkey % 4 = 0 THEN '2017,2018'

@@ -110,7 +110,6 @@ def user_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(no % 71 != 3, no.cast("string")).alias("user_id"),
         F.col("c_name").alias("name"),
         (no % 100).cast("int").alias("review_count"),
-        F.lit("2011-01-01").alias("yelping_since"),
         F.when(no % 3 == 0, F.concat_ws(", ", *as_text)).when(no % 3 == 1, F.lit("")).alias("friends"),
         F.when(no % 29 == 6, F.lit("None"))
         .when(no % 4 == 0, F.lit("2017,2018"))
