@@ -110,7 +110,23 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
-def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame | None, DataFrame | None]:
+def nibbles_alike(a: Column, b: Column, slots: int) -> Column:
+    """How many of ``slots`` 4-bit values agree, packed 16 to a long in the fields s0, s1, ... of two sketches.
+
+    Places beyond ``slots`` must hold the same in all sketches; they aren't counted.
+    """
+    words, total = -(-slots // 16), F.lit(0)
+    for k in range(words):
+        x = a[f"s{k}"].bitwiseXOR(b[f"s{k}"])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        total = total + F.bit_count(x)
+    return F.lit(slots) - total
+
+
+def linked(
+    buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], sketches: DataFrame, close: Callable[[Column, Column], Column]
+) -> tuple[DataFrame | None, DataFrame | None]:
     """Classes of nodes, from candidates that share a bucket and an exact test of pairs.
 
     ``buckets(bucket, node)``, distinct; ``verify(pairs(a, b))`` returns the pairs that pass. Returns ``(links,
@@ -118,9 +134,10 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tupl
 
     A bucket isn't expanded into all its pairs. Its nodes are ranked by how many nodes they meet over all their
     buckets, since the text that others were copied from meets most. First each node is tested against the node of
-    rank 1 of its buckets. Then classes are formed, and only nodes that stand in different classes are tested
-    further: against ranks up to 16, then up to 128, and so on by eights until the largest bucket is through. So
-    every pair of a bucket is either tested or already in one class.
+    rank 1 of its buckets. Then classes are formed, and only nodes that stand in different classes are compared
+    further: with ranks up to 16, then up to 128, and so on by eights until the largest bucket is through. In these rounds the
+    join itself compares ``sketches(node, sketch)`` of both nodes by ``close``, so that only pairs that may well pass
+    become rows. So every pair of a bucket is tested, or far apart by its sketches, or already in one class.
     """
     sized = buckets.join(
         buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "bucket"
@@ -141,16 +158,18 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tupl
                 current.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                 .filter("lo <> hi").select("bucket")
             )
-            current = current.join(open_buckets, "bucket", "left_semi")
+            current = current.join(open_buckets, "bucket", "left_semi").join(sketches, "node")
         else:
             current = current.withColumn("root", F.col("node"))
         # The limit on the rank cuts each bucket before the shuffle, so no task holds a whole one.
         centres = current.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= high)
+        further = [F.col("sketch").alias("c_sketch")] if low else []
         centres = centres.filter(F.col("rank") > low).select(
-            "bucket", F.col("node").alias("c"), F.col("root").alias("c_root")
+            F.col("bucket").alias("c_bucket"), F.col("node").alias("c"), F.col("root").alias("c_root"), *further
         )
+        met = (F.col("bucket") == F.col("c_bucket")) & (F.col("root") != F.col("c_root"))
         pairs = (
-            current.join(centres, "bucket").filter("root <> c_root")
+            current.join(centres, met & close(F.col("sketch"), F.col("c_sketch")) if low else met)
             .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
         )
         if tested is not None:
