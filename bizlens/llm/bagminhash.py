@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bizlens.llm.common import WordHashes, chunks, linked, mix, nibbles_alike, shingles, text_of
+from bizlens.llm.common import WordHashes, chunks, linked, mix, nibbles_alike, shingles, text_of, wrapped
 from bizlens.operators.joins import lookup_join
 from bizlens.session import materialize
 
@@ -204,14 +204,15 @@ def _classes(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``classes`` keeps, with all their columns.
 
-    A row is found again by its doc_id and text. Of rows that agree in both, the class keeps one at most.
+    A row is found again by its doc_id and text. Of rows that agree in both, the class keeps one at most. Rows without words
+    all stay. Other columns may have any names.
     """
     verdict = _classes(docs).groupBy("doc_id", "key").agg(
         F.sum(F.col("kept").cast("long")).alias("keep"), F.count(F.lit(1)).alias("all")
     ).filter("keep > 0")
     verdict = materialize(verdict.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "keep", "all"), "kept")
-    keyed = docs.withColumn("_key", content_key(text_of(docs)))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+    keyed = wrapped(docs).withColumn("_key", content_key(F.col("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
     whole = keyed.join(verdict.filter("keep = all").drop("keep", "all"), "_key").filter(same)
     first = keyed.join(verdict.filter("keep < all").drop("keep", "all"), "_key").filter(same)
-    return whole.unionByName(first.dropDuplicates(["_id", "_key"])).select(*docs.columns)
+    return whole.unionByName(first.dropDuplicates(["_id", "_key"])).select("_all.*")

@@ -25,6 +25,11 @@ def text_of(docs: DataFrame, column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def wrapped(docs: DataFrame) -> DataFrame:
+    """``doc_id`` (long), ``text`` (null: empty) and the whole row as the struct ``_all``, so that no name of another column clashes."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"), F.struct("*").alias("_all"))
+
+
 def fold(column: str = "doc_id", parts: int = 5) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts

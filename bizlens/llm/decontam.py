@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizlens.llm.common import WordHashes, chunks, mix, shingles, text_of
+from bizlens.llm.common import WordHashes, chunks, mix, shingles, text_of, wrapped
 from bizlens.session import materialize
 
 WIDTH = 5
@@ -139,11 +139,11 @@ def _search(shared):
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that contain no item, with all their columns (see ``contained``).
 
-    A row goes by its doc_id; a row without one goes by its place in the stored table.
+    A row goes by its doc_id; a row without one goes by its place in the stored table. Other columns may have any names.
     """
     found = materialize(contained(docs, items), "contained")
     ids = found.filter("doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
-    out = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_row", F.monotonically_increasing_id())
+    out = wrapped(docs).drop("text").withColumnRenamed("doc_id", "_id").withColumn("_row", F.monotonically_increasing_id())
     out = out.join(ids, "_id", "left_anti")
     places = found.filter("doc_id is null").select(F.col("row").alias("_row"))
-    return out.join(places, "_row", "left_anti").select(*docs.columns)
+    return out.join(places, "_row", "left_anti").select("_all.*")

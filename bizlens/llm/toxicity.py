@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizlens.llm.common import chunks, fold, text_of
+from bizlens.llm.common import chunks, fold, text_of, wrapped
 
 WINDOW = 32
 STRIDE = 16
@@ -362,7 +362,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that score below 0.5, with all their columns."""
+    """The rows of ``docs`` that score below 0.5, with all their columns, whatever their names. Null and empty texts stay."""
     net = train(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
@@ -372,4 +372,4 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
         return pd.Series(Scorer(shared.value).scores(list(texts)) if shared.value else np.zeros(len(texts)))
 
-    return docs.withColumn("_score", score(text_of(docs))).filter("_score < 0.5").drop("_score")
+    return wrapped(docs).filter(score("text") < 0.5).select("_all.*")
