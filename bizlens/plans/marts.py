@@ -12,7 +12,7 @@ from bizlens.operators import clean
 from bizlens.operators.expand import explode_list, with_stable_id
 from bizlens.operators.sentiment import Rules, label, score_sentiment
 from bizlens.operators.words import word_table
-from bizlens.sources.feeds import good_records
+from bizlens.sources.feeds import accepted, rejected
 from bizlens.sources.tables import write_table
 
 CLUSTERS = {
@@ -125,7 +125,7 @@ def feed_tables(
     id_salt: str = "",
 ) -> dict[str, DataFrame]:
     """The tables one feed produces, as lazy plans; word tables are made from these by ``WORD_TABLES``."""
-    feed = good_records(feed)
+    feed = accepted(feed, name)
     if name == "business":
         return {"business": business(feed), "business_category": business_category(feed)}
     if name == "checkin":
@@ -171,6 +171,8 @@ def write_all(
 
     The word tables are computed from the written review and tip tables, so each raw text is
     parsed, cleaned and lower-cased once, and nothing has to be cached.
+
+    Records that no table can hold go to ``<root>/quarantine_<feed>`` with the reason; it stands in the result too.
     """
     written: dict[str, DataFrame] = {}
     for name, feed in feeds.items():
@@ -180,4 +182,5 @@ def write_all(
         if name in WORD_TABLES:
             words = WORD_TABLES[name](written[name], forms, stop_words)
             written[f"{name}_text"] = write_table(words, f"{root}/{name}_text")
+        written[f"quarantine_{name}"] = write_table(rejected(feed, name), f"{root}/quarantine_{name}")
     return written

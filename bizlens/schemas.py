@@ -37,21 +37,31 @@ def _feed(text: str) -> T.StructType:
     return _columns(text).add(CORRUPT, T.StringType())
 
 
+# Fields that no table has are read as text, so that they can't make a record unreadable.
 FEEDS: dict[str, T.StructType] = {
     "business": _feed(
         "business_id string, name string, address string, city string, state string, postal_code string, "
-        "latitude double, longitude double, stars double, review_count int, is_open int, categories string"
+        "latitude double, longitude double, stars string, review_count string, is_open int, categories string"
     ),
     "checkin": _feed("business_id string, date string"),
     "review": _feed(
         "review_id string, user_id string, business_id string, stars double, date string, text string"
     ),
-    "tip": _feed("text string, date string, compliment_count int, business_id string, user_id string"),
+    "tip": _feed("text string, date string, compliment_count string, business_id string, user_id string"),
     "user": _feed(
-        "user_id string, name string, review_count int, friends string, elite string"
+        "user_id string, name string, review_count string, friends string, elite string"
     ),
 }
 
+# Columns without which a record can't be stored.
+REQUIRED: dict[str, tuple[str, ...]] = {
+    "business": ("business_id",),
+    "checkin": ("business_id",),
+    "review": ("review_id", "user_id", "business_id"),
+    "tip": ("user_id", "business_id"),
+    "user": ("user_id",),
+}
+
 # Which tables each feed produces.
 FEED_TABLES: dict[str, tuple[str, ...]] = {
     "business": ("business", "business_category"),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizlens.schemas import CORRUPT, FEEDS
+from bizlens.schemas import CORRUPT, FEEDS, REQUIRED
 
 
 def read_feed(
@@ -26,11 +26,41 @@ def read_feed(
     return reader.format(file_format).load(path)
 
 
+def _broken(feed: DataFrame) -> Column:
+    """Whether a record did not parse, decided over all its declared columns.
+
+    Spark parses only the columns that a plan asks for. The hash, which is never below the smallest whole
+    number, asks for all of them, so every table of a feed meets the same decision.
+    """
+    if CORRUPT not in feed.columns:
+        return F.lit(False)
+    whole = F.xxhash64(*[c for c in feed.columns if c != CORRUPT])
+    return F.col(CORRUPT).isNotNull() | (whole < F.lit(-(2**63)))
+
+
+def with_reason(feed: DataFrame, name: str) -> DataFrame:
+    """The feed with ``reason``: why a record can't be stored (unreadable, or a required column is null), else null."""
+    reason = F.when(_broken(feed), F.lit("unreadable"))
+    for key in REQUIRED[name]:
+        reason = reason.when(F.col(key).isNull(), F.lit(f"no {key}"))
+    return feed.withColumn("reason", reason)
+
+
+def accepted(feed: DataFrame, name: str) -> DataFrame:
+    """The records that the tables of the feed are made of."""
+    return with_reason(feed, name).filter(F.col("reason").isNull()).drop("reason", CORRUPT)
+
+
+def rejected(feed: DataFrame, name: str) -> DataFrame:
+    """All other records: whatever fields were found, the raw text of unreadable ones, and the reason."""
+    return with_reason(feed, name).filter(F.col("reason").isNotNull())
+
+
 def good_records(feed: DataFrame) -> DataFrame:
     """Records that parsed, without the raw-text column."""
     if CORRUPT not in feed.columns:
         return feed
-    return feed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return feed.filter(~_broken(feed)).drop(CORRUPT)
 
 
 def quarantined(feed: DataFrame) -> DataFrame:
@@ -39,4 +69,4 @@ def quarantined(feed: DataFrame) -> DataFrame:
     Write it out as it is; to count, use ``quality.broken_records``, since Spark refuses a scan that
     asks for the raw text alone.
     """
-    return feed.filter(F.col(CORRUPT).isNotNull())
+    return feed.filter(_broken(feed))

@@ -60,7 +60,7 @@ CTES: dict[str, str] = {
                CAST(turn AS INTEGER) AS compliment_count, 'src' || (conv_id % 20) AS business_id,
                CAST(conv_id AS VARCHAR) AS user_id
         FROM conversations, (VALUES (1), (2)) AS c(copy)
-        WHERE role = 'user' AND (copy = 1 OR conv_id % 3 = 0)""",
+        WHERE copy = 1 OR conv_id % 3 = 0""",
     "user_feed": """
         SELECT CASE WHEN c_custkey % 71 <> 3 THEN CAST(c_custkey AS VARCHAR) END AS user_id, c_name AS name,
                CAST(c_custkey % 100 AS INTEGER) AS review_count,
@@ -282,7 +282,8 @@ FINALS: dict[str, str] = {
         (SELECT business_id, category, count(*) * 2 AS copies FROM business_category GROUP BY ALL)""",
     "sink_bucketed_join": top_words(_REVIEW_WORDS, "business_id"),
     "limit_preview": f"SELECT review_id, user_id, {ts('date')} AS date FROM review_staging ORDER BY review_id LIMIT 2",
-    "sql_view_query": top_words(f"SELECT * FROM ({_REVIEW_WORDS}) WHERE business_id = {_B}"),
+    "sql_view_query": f"""SELECT if(stars < 3, 'poor', 'fair') AS verdict, CAST(length(word) AS INTEGER) AS letters, count(*) AS said
+        FROM review_staging r JOIN review_text t ON r.review_id = t.review_id WHERE business_id <> {_B} GROUP BY ALL""",
     # cleaning
     "clean_business": "SELECT * EXCLUDE (stars), stars FROM business_feed WHERE business_id IS NOT NULL AND is_open = 1",
     "clean_keys": """SELECT 'business' AS feed, count(*) AS n FROM business_feed WHERE business_id IS NOT NULL
@@ -302,8 +303,8 @@ FINALS: dict[str, str] = {
         FROM orders GROUP BY ALL""",
     "fn_file_label": """SELECT o_orderkey, 'x' || CASE WHEN o_orderkey % 150 < 10 THEN '0' ELSE '' END || (o_orderkey % 150) AS label
         FROM orders""",
-    "fn_stable_id": f"""SELECT {_hash_id('conv_id', 'turn', "CASE WHEN turn % 3 = 0 THEN NULL WHEN turn % 3 = 1 THEN '' ELSE text END")} AS id,
-        conv_id, turn FROM conversations""",
+    "fn_stable_id": f"""SELECT {_hash_id('conv_id', 'turn', 'text')} AS id, conv_id, turn,
+        {_hash_id('conv_id', 'turn', "''")} AS id_of_empty, {_hash_id('conv_id', 'turn', 'NULL')} AS id_of_null FROM conversations""",
     "explode_delimited": """SELECT event_id, unnest(string_split(date, ', ')) AS piece FROM checkin_feed WHERE date IS NOT NULL""",
     # words
     "text_tokens": f"""SELECT doc_id, array_to_string(regexp_extract_all(lower(text), {_text(TOKEN_PATTERN)}), ' ') AS tokens FROM documents""",

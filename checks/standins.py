@@ -90,7 +90,7 @@ def review_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tip_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = given(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    said = given(spark, sf_dir, "conversations")
     no, turn = F.col("conv_id"), F.col("turn")
     when = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(conv_id as int), cast(turn as int), 0)")
     copies = F.sequence(F.lit(1), F.when(no % 3 == 0, 2).otherwise(1))
