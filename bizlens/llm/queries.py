@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bizlens.llm import bagminhash, chat, decontam, hmm, huffman, lines, packing, rules, toxicity, warc
+from bizlens.llm import bagminhash, chat, counts, decontam, hmm, huffman, lines, merkle, packing, rules, spelling, toxicity, warc
 
 
 def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -63,11 +63,25 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return bagminhash.classes(given(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots and proof of each document, and whether the proof holds after the tampering."""
+    return merkle.verified(given(spark, folder, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.grouped(given(spark, folder, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return counts.counted(given(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_quality_rules, op3_toxicity, op4_lm_scoring, op5_decontamination,
         op6_chat_format, op7_token_files, op8_warc, op9_packing, op10_near_dedup,
+        op11_merkle_manifest, op12_spelling_variants, op13_token_counts,
     )
 }
 

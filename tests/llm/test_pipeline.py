@@ -19,7 +19,7 @@ needs_data = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the given tab
 
 def test_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in entry_points.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry_points.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry_points.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "packing"]
 
 
