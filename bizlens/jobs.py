@@ -12,6 +12,7 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -20,10 +21,11 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from bizlens.operators import quality  # noqa: E402
 from bizlens.operators.words import lemma_forms  # noqa: E402
 from bizlens.plans import insights, marts  # noqa: E402
-from bizlens.schemas import FEED_TABLES  # noqa: E402
+from bizlens.schemas import FEED_TABLES, TABLES  # noqa: E402
 from bizlens.session import build_session, materialize  # noqa: E402
 from bizlens.sources import lookups  # noqa: E402
-from bizlens.sources.feeds import read_feed  # noqa: E402
+from bizlens.sources.commits import log, merge_batches  # noqa: E402
+from bizlens.sources.records import accepted, quarantine, read_records  # noqa: E402
 from bizlens.sources.tables import read_tables, write_table  # noqa: E402
 from bizlens.streaming.ingest import ingest_all  # noqa: E402
 
@@ -51,20 +53,49 @@ def text_lookups(spark: SparkSession, args: argparse.Namespace) -> dict[str, Dat
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    """Full load of every feed, then the quality report, which is also written next to the tables."""
-    feeds = {name: read_feed(spark, name, f"{args.feeds}/{name}", args.format) for name in args.only}
-    tables = marts.write_all(feeds, args.out, cluster=args.cluster, **text_lookups(spark, args))
-    report = quality.table_report(tables).unionByName(quality.duplicate_keys(tables))
-    return write_table(report, f"{args.out}/quality")
+    """Full load of every feed, then the quality report, which is also written next to the tables.
+
+    Row, null, label and length counts are taken while the tables are written; keys and references are then checked over
+    the tables, and texts, closed businesses and rejected records over the record store.
+    """
+    feeds = {name: read_records(spark, name, f"{args.feeds}/{name}", args.format) for name in args.only}
+    counters = quality.WriteCounters()
+    tables = marts.write_all(feeds, args.out, cluster=args.cluster, counters=counters, **text_lookups(spark, args))
+    parts = [counters.report(spark), *further_checks(spark, args.out, tables, args.only)]
+    return write_table(reduce(DataFrame.unionByName, parts), f"{args.out}/quality")
+
+
+def further_checks(spark: SparkSession, root: str, tables: dict[str, DataFrame], feeds: list[str]) -> list[DataFrame]:
+    stored = {name: accepted(spark, root, name) for name in feeds}
+    reports = [quality.quarantine_counts({name: quarantine(spark, root, name) for name in feeds})]
+    texts = {name: df for name, df in stored.items() if "text" in df.columns}
+    if any(TABLES[name].key for name in tables):
+        reports.append(quality.duplicate_keys(tables))
+    if any(parent in tables for name in tables for parent in TABLES[name].parents.values()):
+        reports.append(quality.orphans(tables))
+    if texts:
+        reports.append(quality.missing_text(texts))
+    if "business" in stored:
+        reports.append(quality.closed_businesses(stored["business"]))
+    return reports
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    """Load the files that are new since the last run."""
+    """Load the files that are new since the last run; the report covers all that was loaded so far."""
     paths = {name: f"{args.feeds}/{name}/*" for name in args.only}
     ingest_all(
-        spark, paths, args.out, args.checkpoints, files_per_batch=args.files_per_batch, **text_lookups(spark, args)
+        spark, paths, args.out, args.checkpoints, files_per_batch=args.files_per_batch, bytes_per_batch=args.bytes_per_batch,
+        file_format=args.format, **text_lookups(spark, args),
     )
-    return quality.table_report(read_tables(spark, args.out, [t for f in args.only for t in FEED_TABLES[f]]))
+    if args.merge:
+        for name in args.only:
+            merge_batches(spark, args.out, name)
+    loaded = {feed for feed, *_ in log(spark, args.out)}
+    feeds = [name for name in args.only if name in loaded]
+    tables = read_tables(spark, args.out, [t for f in feeds for t in FEED_TABLES[f]])
+    if not tables:
+        return quality.WriteCounters().report(spark)
+    return reduce(DataFrame.unionByName, [quality.table_report(tables), *further_checks(spark, args.out, tables, feeds)])
 
 
 def ask(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -85,12 +116,14 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--only", nargs="+", choices=list(FEED_TABLES), default=list(FEED_TABLES))
         for lookup in ("lexicon", "nouns", "exceptions", "stop-words"):
             job.add_argument(f"--{lookup}")
+        job.add_argument("--format", choices=["json", "csv"], default="json")
         if name == "load":
-            job.add_argument("--format", choices=["json", "csv"], default="json")
             job.add_argument("--cluster", action="store_true")
         else:
             job.add_argument("--checkpoints", required=True)
             job.add_argument("--files-per-batch", type=int, default=1)
+            job.add_argument("--bytes-per-batch", help="such as 100g, instead of a number of files")
+            job.add_argument("--merge", action="store_true", help="afterwards make one folder of all batches")
     job = jobs.add_parser("ask")
     job.set_defaults(run=ask)
     job.add_argument("question", choices=list(QUESTIONS))

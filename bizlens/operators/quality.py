@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bizlens.schemas import CORRUPT, TABLES
@@ -75,15 +75,50 @@ def too_long(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _stack(_report(df, t, _lengths(t)) for t, df in tables.items() if TABLES[t].max_length)
 
 
+def _table_counts(name: str, columns: Iterable[str]) -> Counts:
+    counts = {**_rows(), **_nulls(TABLES[name].not_null), **_lengths(name)}
+    if "sentiment" in columns:
+        counts.update(_domain("sentiment", LABELS))
+    return counts
+
+
 def table_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row, null, label and length checks of every table together, with one scan per table."""
-    reports = []
-    for name, df in tables.items():
-        counts = {**_rows(), **_nulls(TABLES[name].not_null), **_lengths(name)}
-        if "sentiment" in df.columns:
-            counts.update(_domain("sentiment", LABELS))
-        reports.append(_report(df, name, counts))
-    return _stack(reports)
+    return _stack(_report(df, name, _table_counts(name, df.columns)) for name, df in tables.items())
+
+
+class WriteCounters:
+    """The checks of ``table_report``, counted in the pass that writes a table instead of by another scan."""
+
+    def __init__(self) -> None:
+        self._seen: dict[str, tuple[Observation, list[tuple[str, str]]]] = {}
+
+    def watch(self, df: DataFrame, table: str) -> DataFrame:
+        """``df``, counted when it is next written."""
+        counts = _table_counts(table, df.columns)
+        seen = Observation(f"checks of {table}")
+        self._seen[table] = (seen, list(counts))
+        return df.observe(seen, *[counted.alias(f"c{i}") for i, counted in enumerate(counts.values())])
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """The rows of ``table_report`` for all tables written so far."""
+        rows = []
+        for table, (seen, counts) in self._seen.items():
+            found = seen.get
+            for i, (check, column) in enumerate(counts):
+                n = found[f"c{i}"]
+                rows.append((check, table, column, n, n > 0 if check == "rows" else n == 0))
+        return spark.createDataFrame(rows, "check string, table string, column string, n bigint, passed boolean")
+
+
+def quarantine_counts(quarantines: Mapping[str, DataFrame]) -> DataFrame:
+    """Rejected records of each feed by reason; a feed without any has no row."""
+    return _stack(
+        df.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit("quarantine").alias("check"), F.lit(feed).alias("table"), F.col("reason").alias("column"), "n", F.lit(False).alias("passed")
+        )
+        for feed, df in quarantines.items()
+    )
 
 
 def missing_text(feeds: Mapping[str, DataFrame]) -> DataFrame:

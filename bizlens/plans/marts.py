@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from bizlens.functions.columns import TIMESTAMP_FORMAT, parse_ts, year_number
 from bizlens.operators import clean
 from bizlens.operators.expand import explode_list, with_stable_id
+from bizlens.operators.quality import WriteCounters
 from bizlens.operators.sentiment import Rules, label, score_sentiment
 from bizlens.operators.words import word_table
-from bizlens.sources.feeds import accepted, rejected
-from bizlens.sources.tables import write_table
+from bizlens.schemas import FEED_TABLES
+from bizlens.sources import records
+from bizlens.sources.feeds import accepted
+from bizlens.sources.tables import in_order, write_table
 
 CLUSTERS = {
     "review": ("business_id", "review_id"),
@@ -32,9 +35,9 @@ def business_category(feed: DataFrame, drop_empty: bool = True) -> DataFrame:
     return explode_list(clean.open_businesses(feed), "business_id", "categories", "category", drop_empty)
 
 
-def checkin(feed: DataFrame, formats: Sequence[str] = (TIMESTAMP_FORMAT,)) -> DataFrame:
+def checkin(feed: DataFrame, formats: Sequence[str] = (TIMESTAMP_FORMAT,), cluster: bool = False) -> DataFrame:
     visits = explode_list(clean.with_keys(feed, "business_id"), "business_id", "date", "date", drop_empty=False)
-    return visits.select("business_id", parse_ts("date", formats).alias("date"))
+    return in_order(visits.select("business_id", parse_ts("date", formats).alias("date")), CLUSTERS["checkin"] if cluster else ())
 
 
 def user(feed: DataFrame) -> DataFrame:
@@ -72,8 +75,10 @@ def review(
     rules: Rules = Rules(),
     formats: Sequence[str] = (TIMESTAMP_FORMAT,),
     keep_score: bool = False,
+    cluster: bool = False,
 ) -> DataFrame:
-    staged = review_staging(feed, formats)
+    """Reviews with their label; clustered rows are sorted before they are scored, so that each is scored once."""
+    staged = in_order(review_staging(feed, formats), CLUSTERS["review"] if cluster else ())
     return _labelled(staged, staged.columns, lexicon, rules, keep_score)
 
 
@@ -102,8 +107,9 @@ def tip(
     id_salt: str = "",
     formats: Sequence[str] = (TIMESTAMP_FORMAT,),
     keep_score: bool = False,
+    cluster: bool = False,
 ) -> DataFrame:
-    staged = tip_staging(feed, id_salt, formats)
+    staged = in_order(tip_staging(feed, id_salt, formats), CLUSTERS["tip"] if cluster else ())
     return _labelled(staged, staged.columns, lexicon, rules, keep_score)
 
 
@@ -123,22 +129,26 @@ def feed_tables(
     lexicon: DataFrame | None = None,
     rules: Rules = Rules(),
     id_salt: str = "",
+    cluster: bool = False,
 ) -> dict[str, DataFrame]:
-    """The tables one feed produces, as lazy plans; word tables are made from these by ``WORD_TABLES``."""
+    """The tables one feed produces, as lazy plans; word tables are made from these by ``WORD_TABLES``.
+
+    With ``cluster=True`` the rows of the tables in ``CLUSTERS`` are in that order.
+    """
+    if name not in FEED_TABLES:
+        raise ValueError(f"unknown feed: {name}")
     feed = accepted(feed, name)
     if name == "business":
         return {"business": business(feed), "business_category": business_category(feed)}
     if name == "checkin":
-        return {"checkin": checkin(feed)}
+        return {"checkin": checkin(feed, cluster=cluster)}
     if name == "user":
         return {"user": user(feed), "user_elite": user_elite(feed), "user_friend": user_friend(feed)}
-    if name not in WORD_TABLES:
-        raise ValueError(f"unknown feed: {name}")
     if lexicon is None:
         raise ValueError(f"the {name} feed needs a sentiment lexicon")
     if name == "review":
-        return {"review": review(feed, lexicon, rules)}
-    return {"tip": tip(feed, lexicon, rules, id_salt)}
+        return {"review": review(feed, lexicon, rules, cluster=cluster)}
+    return {"tip": tip(feed, lexicon, rules, id_salt, cluster=cluster)}
 
 
 def build_all(
@@ -162,25 +172,29 @@ def write_all(
     forms: DataFrame | None = None,
     stop_words: DataFrame | None = None,
     cluster: bool = False,
+    counters: WriteCounters | None = None,
     **lookups,
 ) -> dict[str, DataFrame]:
     """Write all tables below ``root`` and return them as read back.
 
     With ``cluster=True`` reviews, tips and check-ins are sorted by business over all files: one
-    shuffle at load time, and questions about one business then read few row groups.
+    shuffle at load time, before scoring, and questions about one business then read few row groups.
 
     The word tables are computed from the written review and tip tables, so each raw text is
     parsed, cleaned and lower-cased once, and nothing has to be cached.
 
-    Records that no table can hold go to ``<root>/quarantine_<feed>`` with the reason; it stands in the result too.
+    Every feed is read once, into the record store below ``<root>/records``; the tables are made from there, and records
+    that no table can hold are read by ``records.quarantine``. ``counters`` takes the checks of the tables while they are written.
     """
     written: dict[str, DataFrame] = {}
-    for name, feed in feeds.items():
-        for table, df in feed_tables(name, feed, **lookups).items():
-            order = CLUSTERS.get(table, ()) if cluster else ()
-            written[table] = write_table(df, f"{root}/{table}", cluster_by=order)
+
+    def write(table: str, df: DataFrame) -> None:
+        df = df if counters is None else counters.watch(df, table)
+        written[table] = write_table(df, f"{root}/{table}")
+
+    for name, raw in feeds.items():
+        for table, df in feed_tables(name, records.stage(raw, name, root), cluster=cluster, **lookups).items():
+            write(table, df)
         if name in WORD_TABLES:
-            words = WORD_TABLES[name](written[name], forms, stop_words)
-            written[f"{name}_text"] = write_table(words, f"{root}/{name}_text")
-        written[f"quarantine_{name}"] = write_table(rejected(feed, name), f"{root}/quarantine_{name}")
+            write(f"{name}_text", WORD_TABLES[name](written[name], forms, stop_words))
     return written

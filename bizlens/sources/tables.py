@@ -7,20 +7,24 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizlens.schemas import TABLES, conform
+from bizlens.schemas import FEED_TABLES, TABLES, conform
+from bizlens.sources import commits
+
+
+def in_order(df: DataFrame, cluster_by: Sequence[str] = ()) -> DataFrame:
+    """The rows sorted by range over all partitions, so that a filter on the first column skips most row groups.
+
+    Ending ``cluster_by`` with a unique column lets a hot value span several partitions. Spark samples the rows for the
+    bounds, which runs all that ``df`` computes once more: sort before costly columns are added.
+    """
+    return df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by) if cluster_by else df
 
 
 def write_table(
     df: DataFrame, path: str, mode: str = "overwrite", cluster_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Write a Parquet table and return it as read back.
-
-    ``cluster_by`` sorts the rows by range over all files, so that a filter on the first column
-    skips most row groups. Ending it with a unique column lets a hot value span several files.
-    """
-    if cluster_by:
-        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-    df.write.mode(mode).parquet(path)
+    """Write a Parquet table, sorted by ``cluster_by`` if given (see ``in_order``), and return it as read back."""
+    in_order(df, cluster_by).write.mode(mode).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -46,14 +50,23 @@ def save_bucketed(tables: Mapping[str, DataFrame], root: str, buckets: int) -> d
     return saved
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write one batch as its own partition; the same batch again replaces it."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
 def read_tables(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    """Declared tables below ``root``, each with its declared schema."""
-    return {name: spark.read.schema(TABLES[name].schema).parquet(f"{root}/{name}") for name in names}
+    """Declared tables below ``root``, each with its declared schema.
+
+    Tables that batches were loaded into hold what the commit log shows, so that all tables of a batch appear at once.
+    """
+    shown: dict[str, list[str]] = {}
+    for feed, _, _, folder in commits.log(spark, root):
+        shown.setdefault(feed, []).append(folder)
+    feed_of = {table: feed for feed, tables in FEED_TABLES.items() for table in tables}
+    found = {}
+    for name in names:
+        folders, schema = shown.get(feed_of.get(name, "")), TABLES[name].schema
+        # A feed with no batch yet may have been loaded as a whole.
+        found[name] = (
+            commits.read_folders(spark, f"{root}/{name}", folders, schema) if folders else spark.read.schema(schema).parquet(f"{root}/{name}")
+        )
+    return found
 
 
 def register(tables: Mapping[str, DataFrame]) -> None:

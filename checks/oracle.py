@@ -409,6 +409,31 @@ FINALS: dict[str, str] = {
 }
 
 
+_DIRTY = """(SELECT CASE WHEN doc_id % 59 = 0 THEN ['unreadable'] ELSE [] END || CASE WHEN doc_id % 53 = 5 THEN ['unreadable'] ELSE [] END
+    || CASE WHEN doc_id % 61 = 7 THEN ['no review_id'] ELSE [] END || CASE WHEN doc_id % 43 = 11 THEN ['no user_id'] ELSE [] END AS reasons FROM documents)"""
+FINALS["load_quarantine"] = _union(
+    f"""SELECT '{job}' AS job, reason AS what, count(*) AS n FROM (SELECT unnest(reasons) AS reason FROM {_DIRTY}) GROUP BY reason
+        UNION ALL SELECT '{job}', 'review', count(*) FROM documents WHERE length(text) > 0
+        UNION ALL SELECT '{job}', 'ids', count(DISTINCT doc_id) FROM documents WHERE length(text) > 0"""
+    for job in ("load", "ingest")
+)
+FINALS["load_equals_ingest"] = _union(
+    f"SELECT '{t}' AS table_name, count(*) AS n, CAST(0 AS BIGINT) AS differing FROM {_SOURCE.get(t, t)}" for t in _TABLES
+)
+FINALS["load_cut_feed"] = """SELECT CAST(doc_id AS VARCHAR) AS review_id, 'u' || (doc_id % 500) AS user_id, source AS business_id,
+    CAST(1 + doc_id % 5 AS DOUBLE) AS stars, text FROM documents"""
+FINALS["ingest_files"] = _union(
+    f"""SELECT '{feed}' AS script_name, CAST(no AS BIGINT) AS processed_file, CAST({files} AS BIGINT) AS next_file,
+        '{feed}/x' || lpad('{files}', 2, '0') AS file_name FROM range({files}) AS r(no)""" for feed, files in (("checkin", 12), ("user", 7))
+)
+_FIRST_HALF = "(SELECT * FROM user_feed WHERE (length(name) + review_count) % 2 = 0)"
+FINALS["ingest_half_batch"] = _union(
+    f"SELECT '{moment}' AS moment, '{table}' AS table_name, count(*) AS n FROM (" + CTES[cte].replace("user_feed", source) + ")"
+    for moment, source in (("before", _FIRST_HALF), ("during", _FIRST_HALF), ("after", "user_feed"))
+    for table, cte in (("user", "users"), ("user_elite", "user_elite"), ("user_friend", "user_friend"))
+)
+
+
 def _lengths() -> str:
     return _union(
         _check("length", t, c, f"count(*) FILTER (length({c}) > {limit})", _SOURCE.get(t, t))
@@ -424,6 +449,7 @@ FINALS["dq_table_report"] = _union([
     *(_check("domain", t, "sentiment", "count(*) FILTER (sentiment NOT IN ('POSITIVE', 'NEGATIVE', 'NEUTRAL'))", t)
       for t in ("review", "tip")),
 ])
+FINALS["dq_write_report"] = FINALS["dq_table_report"]
 
 
 def oracle_sql() -> dict[str, str]:

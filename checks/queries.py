@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +18,14 @@ from bizlens.operators.words import drop_stop_words, keep_valid_words, lemmatize
 from bizlens.plans import insights, marts
 from bizlens.schemas import FEED_TABLES
 from bizlens.session import new_folder
-from bizlens.sources.feeds import good_records, quarantined, read_feed
+from bizlens.sources import records
+from bizlens.sources.commits import merge_batches
+from bizlens.sources.feeds import good_records, quarantined, raw_records, read_feed
 from bizlens.sources.tables import append_table, preview, read_tables, register, sql, write_bucketed, write_table
-from bizlens.streaming.ingest import ingest_all, next_file, read_ledger
-from checks.standins import BUSINESS, STANDIN_RULES, Standins, given, given_texts, standins
+from bizlens.streaming.ingest import FeedLoader, ingest_all, next_file, read_ledger
+from checks.standins import (
+    BUSINESS, STANDIN_RULES, Standins, cut_by_bytes, dirty_review_lines, given, given_texts, review_lines, standins, write_labelled,
+)
 
 Query = Callable[[Standins], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -468,6 +472,121 @@ def ingest_ledger(s: Standins) -> DataFrame:
     return counts.join(ledger, "script_name", "left_semi")
 
 
+def _count(df: DataFrame, **labels: str) -> DataFrame:
+    """One row: the labels and the number of rows."""
+    return df.agg(F.count(F.lit(1)).alias("n")).select(*[F.lit(v).alias(k) for k, v in labels.items()], "n")
+
+
+def _stack(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+@registered
+def load_quarantine(s: Standins) -> DataFrame:
+    """Reviews with broken lines, loaded as a whole and by batches: rejected records by reason, and rows of the table."""
+    root = new_folder(s.spark, "dirty")
+    lines = dirty_review_lines(s.spark, s.sf_dir)
+    write_labelled(lines.select((F.col("doc_id") % 6).alias("no"), "value"), f"{root}/in")
+    marts.write_all({"review": records.read_records(s.spark, "review", f"{root}/in")}, f"{root}/load", lexicon=s.lookup("lexicon"), rules=STANDIN_RULES)
+    ingest_all(s.spark, {"review": f"{root}/in/x*"}, f"{root}/ingest", f"{root}/cp", files_per_batch=4, lexicon=s.lookup("lexicon"), rules=STANDIN_RULES)
+    parts = []
+    for job in ("load", "ingest"):
+        lost = quality.quarantine_counts({"review": records.quarantine(s.spark, f"{root}/{job}", "review")})
+        parts.append(lost.select(F.lit(job).alias("job"), F.col("column").alias("what"), "n"))
+        table = read_tables(s.spark, f"{root}/{job}", ["review"])["review"]
+        parts.append(_count(table, job=job, what="review"))
+        parts.append(_count(table.select("review_id").distinct(), job=job, what="ids"))
+    return _stack(parts)
+
+
+@registered
+def load_equals_ingest(s: Standins) -> DataFrame:
+    """All feeds as files, loaded as a whole and by batches that are merged: rows of each table, and rows that only one has."""
+    root = new_folder(s.spark, "twice")
+    names = [t for tables in FEED_TABLES.values() for t in tables]
+    paths = {name: f"{root}/in/{name}" for name in FEED_TABLES}
+    for name, path in paths.items():
+        s.feed(name).write.json(path)
+    lookups = {"lexicon": s.lookup("lexicon"), "forms": s.lookup("forms"), "rules": STANDIN_RULES}
+    marts.write_all({name: records.read_records(s.spark, name, path) for name, path in paths.items()}, f"{root}/load", **lookups)
+    ingest_all(s.spark, paths, f"{root}/ingest", f"{root}/cp", files_per_batch=3, **lookups)
+    for name in FEED_TABLES:
+        merge_batches(s.spark, f"{root}/ingest", name)
+    loaded, added = (read_tables(s.spark, f"{root}/{job}", names) for job in ("load", "ingest"))
+    counts = []
+    for name in names:
+        both = loaded[name].withColumn("_load", F.lit(1)).unionByName(added[name].withColumn("_load", F.lit(-1)))
+        differing = both.groupBy(*loaded[name].columns).agg(F.sum("_load").alias("d")).agg(F.coalesce(F.sum(F.abs("d")), F.lit(0)).alias("differing"))
+        counts.append(_count(loaded[name], table_name=name).crossJoin(F.broadcast(differing)))
+    return _stack(counts)
+
+
+@registered
+def load_cut_feed(s: Standins) -> DataFrame:
+    """A feed cut into files at arbitrary bytes: every record comes back, and nothing stays in quarantine."""
+    root = new_folder(s.spark, "cut")
+    write_labelled(cut_by_bytes(review_lines(s.spark, s.sf_dir)), f"{root}/in")
+    found = records.stage(records.read_records(s.spark, "review", f"{root}/in"), "review", root)
+    lost = records.quarantine(s.spark, root, "review")
+    return _stack([df.select("review_id", "user_id", "business_id", "stars", "text") for df in (found, lost)])
+
+
+@registered
+def ingest_files(s: Standins) -> DataFrame:
+    """Check-ins in twelve files and users in seven, several files a batch: the ledger, and the next file of each feed."""
+    root = new_folder(s.spark, "labelled")
+    for feed, files in (("checkin", 12), ("user", 7)):
+        value, no = F.to_json(F.struct("*")), F.abs(F.hash("*")) % files
+        write_labelled(s.feed(feed).select(no.alias("no"), value.alias("value")), f"{root}/in/{feed}")
+    ingest_all(s.spark, {feed: f"{root}/in/{feed}/x*" for feed in ("checkin", "user")}, f"{root}/out", f"{root}/cp", files_per_batch=5)
+    ledger = read_ledger(s.spark, f"{root}/out")
+    return ledger.select("script_name", "processed_file").join(next_file(ledger, ledger), "script_name")
+
+
+class _StopsHalfWay(FeedLoader):
+    """Fails after the first of the tables."""
+
+    def write(self, df: DataFrame, dataset: str, folder: str) -> DataFrame:
+        if dataset == "user_elite":
+            raise InterruptedError(dataset)
+        return super().write(df, dataset, folder)
+
+
+@registered
+def ingest_half_batch(s: Standins) -> DataFrame:
+    """Rows that a reader sees before, during and after a second batch, which fails between two tables and runs again."""
+    root = new_folder(s.spark, "half")
+    value = F.to_json(F.struct("*")).alias("value")
+    write_labelled(s.feed("user").select((F.length("name") + F.col("review_count")) % 2, value).toDF("no", "value"), f"{root}/in")
+    batches = [raw_records(s.spark.read, "user", f"{root}/in/x0{k}") for k in (0, 1)]
+    load, seen = FeedLoader("user", f"{root}/out"), []
+
+    def look(moment: str) -> None:
+        tables = read_tables(s.spark, f"{root}/out", FEED_TABLES["user"])
+        seen.extend(_count(df, moment=moment, table_name=name) for name, df in tables.items())
+
+    load(batches[0], 0)
+    look("before")
+    try:
+        _StopsHalfWay("user", f"{root}/out")(batches[1], 1)
+    except InterruptedError:
+        look("during")
+    load(batches[1], 1)
+    look("after")
+    return _stack(seen)
+
+
+@registered
+def dq_write_report(s: Standins) -> DataFrame:
+    """The checks of all tables, counted while a full load writes them."""
+    counters = quality.WriteCounters()
+    marts.write_all(
+        {name: s.feed(name) for name in FEED_TABLES}, new_folder(s.spark, "counted"), forms=s.lookup("forms"), cluster=True,
+        counters=counters, lexicon=s.lookup("lexicon"), rules=STANDIN_RULES,
+    )
+    return counters.report(s.spark)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(query: Query) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: query(standins(spark, sf_dir))

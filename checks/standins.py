@@ -6,7 +6,7 @@ and repeated rows are planted by expressions on the row's key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bizlens.operators.sentiment import Rules
@@ -119,6 +119,55 @@ def user_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, value``: every document as a line of the review feed."""
+    no = F.col("doc_id")
+    record = F.struct(
+        no.cast("string").alias("review_id"), F.concat(F.lit("u"), (no % 500).cast("string")).alias("user_id"),
+        F.col("source").alias("business_id"), (1 + no % 5).cast("double").alias("stars"), "text",
+    )
+    return given_texts(spark, sf_dir, "documents", "doc_id").select("doc_id", F.to_json(record).alias("value"))
+
+
+def dirty_review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines, and further ones that are broken: halves of records, wrong types, missing keys."""
+    lines, no = review_lines(spark, sf_dir), F.col("doc_id")
+    broken = [
+        (no % 59 == 0, F.expr("left(value, length(value) div 2)")),
+        (no % 53 == 5, F.regexp_replace("value", r'"stars":[\d.]+', '"stars":"some"')),
+        (no % 61 == 7, F.regexp_replace("value", r'"review_id":"\d+",', "")),
+        (no % 43 == 11, F.regexp_replace("value", r'"user_id":"u\d+"', '"user_id":null')),
+    ]
+    values = F.array_compact(F.array("value", *[F.when(chosen, text) for chosen, text in broken]))
+    return lines.select("doc_id", F.explode(values).alias("value"))
+
+
+def write_labelled(lines: DataFrame, folder: str) -> None:
+    """Write ``lines(no, value)`` as one file ``x07`` for each number."""
+    spark, made = lines.sparkSession, new_folder(lines.sparkSession, "unlabelled")
+    lines.repartition("no").write.partitionBy("no").text(made)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(made).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop.Path(folder))
+    for found in files.globStatus(hadoop.Path(f"{made}/no=*/part-*")):
+        number = int(found.getPath().getParent().getName().split("=")[1])
+        files.rename(found.getPath(), hadoop.Path(f"{folder}/x{number:02}"))
+
+
+def cut_by_bytes(lines: DataFrame, files: int = 37) -> DataFrame:
+    """``no, value``: the lines of ``lines(doc_id, value)`` in one row, cut into about ``files`` pieces of equal bytes."""
+    rows = lines.select("doc_id", F.concat("value", F.lit("\n")).cast("binary").alias("bytes"))
+    sizes = rows.select("doc_id", F.octet_length("bytes").cast("long").alias("size"))
+    size = max(sizes.agg(F.sum("size")).first()[0] // files, 1)
+    before = F.sum("size").over(Window.orderBy("doc_id")) - F.col("size")  # ids and sizes only
+    placed = rows.join(sizes.select("doc_id", "size", before.alias("start")), "doc_id")
+    spread = placed.withColumn("no", F.explode(F.expr(f"sequence(start div {size}, (start + size - 1) div {size})")))
+    part = F.expr(f"substring(bytes, cast(greatest(no * {size} - start, 0L) + 1 as int), cast(least(start + size, (no + 1) * {size}) - greatest(start, no * {size}) as int))")
+    parts = spread.select("no", "start", part.cast("string").alias("part"))
+    joined = parts.groupBy("no").agg(F.sort_array(F.collect_list(F.struct("start", "part"))).alias("parts"))
+    return joined.select(F.col("no").cast("int").alias("no"), F.array_join("parts.part", "").alias("value"))
+
+
 FEED_STANDINS = {
     "business": business_feed,
     "checkin": checkin_feed,

@@ -26,6 +26,8 @@ def feeds(tmp_path):
         folder = tmp_path / "feeds" / feed
         folder.mkdir(parents=True)
         (folder / "x00").write_text("\n".join(json.dumps(r) for r in records))
+    with open(tmp_path / "feeds" / "user" / "x00", "a") as more:
+        more.write('\n{"name": "nobody"}\n{"user_id": "u3", "na')
     (tmp_path / "nouns").write_text("  1 a note line\ntaco n 1 0\ndog n 7 5 @\n")
     (tmp_path / "lexicon").write_text("great\t3.1\t0.7\nawful\t-2.0\ngood\t1.9\nbroken line\n")
     return tmp_path
@@ -37,7 +39,11 @@ def test_load_and_ask(spark, feeds, job):
     report = jobs.main(
         [job, "--feeds", f"{feeds}/feeds", "--out", f"{feeds}/out", "--nouns", f"{feeds}/nouns",
          "--lexicon", f"{feeds}/lexicon", *extra], spark)
-    assert all(r["passed"] for r in report.collect() if r["check"] in ("nulls", "domain", "length", "duplicate_keys"))
+    assert all(r["passed"] for r in report.collect() if r["check"] in ("nulls", "domain", "length", "duplicate_keys", "missing_text"))
+    counted = {(r["check"], r["table"], r["column"]): r["n"] for r in report.collect()}
+    assert counted["rows", "review", "*"] == 2 and counted["closed", "business", "is_open"] == 0
+    assert counted["quarantine", "user", "unreadable"] == 1 and counted["quarantine", "user", "no user_id"] == 1
+    assert counted["orphans of user", "review", "user_id"] == 0
 
     def ask(question, *more):
         return [tuple(r) for r in jobs.main(["ask", question, "--tables", f"{feeds}/out", "--business", "b1", *more], spark).collect()]
