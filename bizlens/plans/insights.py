@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bizlens.functions.columns import month_label, year_number
-from bizlens.operators.joins import MAX_BROADCAST_ROWS, lookup_join, top_k
+from bizlens.operators.joins import runtime_join, top_k
 
 # The dashboard's cut-offs and its elite year.
 MONTHS, REVIEWS, WORDS, ELITE_YEAR = 10, 5, 5, 2018
@@ -58,7 +58,7 @@ def elite_in(user_elite: DataFrame, year: int = ELITE_YEAR) -> DataFrame:
 
 def friends_of_elite(user_elite: DataFrame, user_friend: DataFrame, year: int = ELITE_YEAR) -> DataFrame:
     """Users whom an elite user of that year lists as a friend."""
-    edges = lookup_join(user_friend, elite_in(user_elite, year), "user_id", "left_semi")
+    edges = runtime_join(user_friend, elite_in(user_elite, year), "user_id", "left_semi")
     return edges.select(F.col("friend_id").alias("user_id")).distinct()
 
 
@@ -82,9 +82,9 @@ def elite_circle_trend(
     elite = elite_in(user_elite, year)
     friends = friends_of_elite(user_elite, user_friend, year)
     if mode == "any":
-        kept = lookup_join(per_user, elite.unionByName(friends).distinct(), "user_id", "left_semi")
+        kept = runtime_join(per_user, elite.unionByName(friends).distinct(), "user_id", "left_semi")
     elif mode == "all":
-        kept = lookup_join(lookup_join(per_user, elite, "user_id", "left_semi"), friends, "user_id", "left_semi")
+        kept = runtime_join(runtime_join(per_user, elite, "user_id", "left_semi"), friends, "user_id", "left_semi")
     else:
         raise ValueError("mode is 'all' or 'any'")
     monthly = kept.groupBy(*group, "year", "month").agg(F.sum("count").alias("count"))
@@ -104,7 +104,7 @@ def recent_elite_reviews(
     year: int = ELITE_YEAR,
     k: int = REVIEWS,
 ) -> DataFrame:
-    by_elite = lookup_join(_of(review, business_id), elite_in(user_elite, year), "user_id", "left_semi")
+    by_elite = runtime_join(_of(review, business_id), elite_in(user_elite, year), "user_id", "left_semi")
     return recent_reviews(by_elite, business_id, k)
 
 
@@ -112,12 +112,12 @@ def word_counts(reviews: DataFrame, review_text: DataFrame, group: list[str], se
     """How often each word occurs in the given reviews, per group.
 
     Reviews are folded to one weighted row per id first, so repeated review rows cannot multiply
-    the word rows. A selective review side goes through the measured lookup join; otherwise both
+    the word rows. A selective review side cuts the words down while the query runs; otherwise both
     sides are facts and meet on their id, without a shuffle when both are bucketed by it.
     """
-    weighted = reviews.groupBy(*group, "review_id").agg(F.count(F.lit(1)).alias("_weight"))
+    weighted = reviews.groupBy(*group, "review_id").agg(F.count(F.lit(1)).alias("_weight")).filter("_weight > 0")
     if selective:
-        joined = lookup_join(review_text, weighted, "review_id")
+        joined = runtime_join(review_text, weighted, "review_id")
     else:
         joined = review_text.join(weighted, "review_id")
     return joined.groupBy(*group, "word").agg(F.sum("_weight").alias("count"))
@@ -143,7 +143,7 @@ def category_peers(business_category: DataFrame, business_id: str) -> DataFrame:
     """Other businesses that share at least one category with the given one, each once."""
     own = business_category.filter(F.col("business_id") == F.lit(business_id)).select("category").distinct()
     others = business_category.filter(F.col("business_id") != F.lit(business_id))
-    return lookup_join(others, own, "category", "left_semi").select("business_id").distinct()
+    return runtime_join(others, own, "category", "left_semi").select("business_id").distinct()
 
 
 def category_words(
@@ -152,12 +152,9 @@ def category_words(
     business_category: DataFrame,
     business_id: str,
     k: int = WORDS,
-    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Most frequent words among the peers of one business."""
     peers = category_peers(business_category, business_id)
-    reviews = lookup_join(
-        review.select("business_id", "review_id"), peers, "business_id", "left_semi", max_rows=max_rows
-    )
+    reviews = runtime_join(review.select("business_id", "review_id"), peers, "business_id", "left_semi")
     counts = word_counts(reviews, review_text, [], selective=True)
     return top_k(counts, [F.desc("count"), F.asc("word")], k).select("word", "count")

@@ -12,7 +12,7 @@ from bizlens.functions.columns import file_label, hash_id, month_label, parse_ts
 from bizlens.functions.text import tokens
 from bizlens.operators import clean, quality
 from bizlens.operators.expand import explode_list
-from bizlens.operators.joins import lookup_join
+from bizlens.operators.joins import runtime_join
 from bizlens.operators.sentiment import score_sentiment
 from bizlens.operators.words import drop_stop_words, keep_valid_words, lemmatize, token_rows
 from bizlens.plans import insights, marts
@@ -291,21 +291,21 @@ def join_elite_friend(s: Standins) -> DataFrame:
 @registered
 def join_semi_elite(s: Standins) -> DataFrame:
     reviews = s.table("review").select("review_id", "user_id")
-    return lookup_join(reviews, insights.elite_in(s.table("user_elite")), "user_id", "left_semi").select("review_id", "user_id")
+    return runtime_join(reviews, insights.elite_in(s.table("user_elite")), "user_id", "left_semi").select("review_id", "user_id")
 
 
 @registered
 def join_semi_friend(s: Standins) -> DataFrame:
     reviews = s.table("review").select("review_id", "user_id")
     friends = insights.friends_of_elite(s.table("user_elite"), s.table("user_friend"))
-    return lookup_join(reviews, friends, "user_id", "left_semi").select("review_id", "user_id")
+    return runtime_join(reviews, friends, "user_id", "left_semi").select("review_id", "user_id")
 
 
 @registered
 def join_semi_nested(s: Standins) -> DataFrame:
     reviews = s.table("review").select("review_id", "business_id")
     peers = insights.category_peers(s.table("business_category"), BUSINESS)
-    return lookup_join(reviews, peers, "business_id", "left_semi").select("review_id", "business_id")
+    return runtime_join(reviews, peers, "business_id", "left_semi").select("review_id", "business_id")
 
 
 # insights: about one business, and about all of them

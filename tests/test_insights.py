@@ -1,8 +1,10 @@
 import datetime as dt
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
+from bizlens.operators.joins import runtime_join
 from bizlens.plans import insights
 from tests.conftest import plan, rows
 
@@ -55,9 +57,9 @@ def test_trend_keeps_latest_ten_months_ascending(reviews):
     assert found == [(f"2018/{m}", 1) for m in range(3, 12)] + [("2018/12", 2)]
 
 
-@pytest.mark.parametrize("max_rows", [1_000_000, 0])
-def test_elite_circle(reviews, elite, friend, max_rows, monkeypatch):
-    monkeypatch.setattr(insights, "lookup_join", _with_limit(max_rows))
+@pytest.mark.parametrize("filter_from", [10**99, 0])
+def test_elite_circle(reviews, elite, friend, filter_from, monkeypatch):
+    monkeypatch.setattr(insights, "runtime_join", partial(runtime_join, filter_from=filter_from))
     only_both = insights.elite_circle_trend(reviews, elite, friend, "b1", months=99)
     assert sum(r["count"] for r in only_both.collect()) == 12
     either = insights.elite_circle_trend(reviews, elite, friend, "b1", months=99, mode="any")
@@ -66,12 +68,6 @@ def test_elite_circle(reviews, elite, friend, max_rows, monkeypatch):
         insights.elite_circle_trend(reviews, elite, friend, mode="none")
 
 
-def _with_limit(max_rows):
-    from bizlens.operators.joins import lookup_join
-
-    return lambda *args, **kwargs: lookup_join(*args, **{**kwargs, "max_rows": max_rows})
-
-
 def test_elite_year_may_be_text(spark):
     textual = spark.createDataFrame([("u1", "2018"), ("u2", "None"), ("u3", "2017")], "user_id string, year string")
     assert rows(insights.elite_in(textual)) == [("u1",)]
@@ -130,3 +126,17 @@ def test_category_words(spark, reviews, words):
 def test_membership_is_planned_as_semi_join(reviews, elite, friend):
     shown = plan(insights.elite_circle_trend(reviews, elite, friend, "b1"))
     assert shown.count("LeftSemi") >= 3 and "NestedLoop" not in shown and "Cartesian" not in shown
+
+
+def test_building_a_plan_starts_no_job(spark, reviews, elite, friend, words):
+    category = spark.createDataFrame([("b1", "Mexican"), ("b2", "Mexican")], "business_id string, category string")
+    spark.sparkContext.setJobGroup("planning", "plans only")
+    try:
+        insights.elite_circle_trend(reviews, elite, friend, "b1")
+        insights.elite_circle_trend(reviews, elite, friend, "b1", mode="any")
+        insights.recent_elite_reviews(reviews, elite)
+        insights.top_words(reviews, words, "b1")
+        insights.category_words(reviews, words, category, "b1")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
