@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizlens.llm.common import chunks, fold, text_of, wrapped
+from bizlens.llm.common import chunks, fold, text_of
 
 WINDOW = 32
 STRIDE = 16
@@ -366,10 +366,12 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     net = train(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
-        return pd.Series(Scorer(shared.value).scores(list(texts)) if shared.value else np.zeros(len(texts)))
+    def run(batches):
+        scorer = Scorer(shared.value) if shared.value else None
+        for batch in chunks(batches, "text", 1 << 20):
+            if scorer:
+                texts = [text or "" for text in batch.column("text").to_pylist()]
+                batch = batch.filter(pa.array(scorer.scores(texts) < 0.5))
+            yield batch
 
-    return wrapped(docs).filter(score("text") < 0.5).select("_all.*")
+    return docs.mapInArrow(run, docs.schema)

@@ -225,3 +225,19 @@ def test_broken_chunks_are_seen():
     data = bytes(range(256)) * 40
     assert warc.unchunked(warc.chunked(data)) == data
     assert warc.unchunked(warc.chunked(data)[:-9]) is None
+
+
+def test_accepted_rows_are_those_that_score_low(spark):
+    rng = random.Random(12)
+    mean, kind = [f"bad{k}" for k in range(30)], [f"nice{k}" for k in range(30)]
+    rows = [(i, " ".join(rng.choices(mean if i % 3 == 0 else kind, k=rng.choice((3, 40, 400))))) for i in range(150)]
+    rows += [(900, None), (901, ""), (902, rows[0][1]), (902, rows[0][1]), (903, "nice1 " * 30_000)]
+    docs = table(spark, [(*r, *range(10)) for r in rows], f"doc_id long, text string, {EXTRA}")
+    labels = table(spark, [(i, 0, int(i % 3 == 0)) for i in range(150)], "doc_id long, quality int, toxic int")
+    kept = toxicity.accepted(docs, labels)
+    low = toxicity.scored(docs, labels).filter("predicted = 0")
+    assert kept.columns == docs.columns
+    assert ordered(r.doc_id for r in kept.collect()) == ordered(r.doc_id for r in low.collect())
+    assert {900, 901, 903} <= {r.doc_id for r in kept.collect()}
+    assert all(tuple(r)[2:] == tuple(range(10)) for r in kept.collect())
+    assert toxicity.accepted(docs.limit(0), labels).count() == 0
