@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import string
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,27 +32,34 @@ neednt needn't never none nope nor not nothing nowhere oughtnt shant shouldnt uh
 oughtn't shan't shouldn't uh-uh wasn't weren't without wont wouldnt won't wouldn't rarely seldom despite
 """.split()
 INCREASING = """
-absolutely amazingly awfully completely considerably decidedly deeply enormously entirely especially
-exceptionally extremely fabulously fully greatly hella highly hugely incredibly intensely majorly more
-most particularly purely quite really remarkably so substantially thoroughly totally tremendously uber
-unbelievably unusually utterly very
+absolutely amazingly awfully completely considerably decidedly deeply effing enormously entirely especially
+exceptionally extremely fabulously flipping flippin fricking frickin frigging friggin fully fucking greatly hella highly
+hugely incredibly intensely majorly more most particularly purely quite really remarkably so substantially thoroughly
+totally tremendously uber unbelievably unusually utterly very
 """.split()
 DECREASING = """
 almost barely hardly kinda kindof kind-of less little marginally occasionally partly scarcely slightly
 somewhat sorta sortof sort-of
 """.split()
 CONTRAST = ("but",)
+# Phrases that set the valence of the word they end at, begin at or stand right before; phrases that only lessen it.
+PHRASES = {
+    "the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "yeah right": -2.0, "cut the mustard": 2.0, "kiss of death": -1.5,
+    "hand to mouth": -2.0,
+}
+LESSENING = ("just enough", "kind of", "sort of")
+NEVER_SO, NEVER_SO_FAR = 1.5, 1.25  # "never so good" is praise: right before the word, and one word further off
 
 # Blanks that separate words, and punctuation stripped from word edges.
 _BLANK = r" \t\n\r\f\x0B\p{Z}"
 _SIGN = "".join(f"\\{sign}" for sign in string.punctuation)
-# A run of non-blanks without the signs around it, or the whole run when it is signs only.
+# A run of non-blanks without the signs around it; the whole run where less than two characters would be left.
 _WORD = (
-    rf"(?:[{_SIGN}]+(?=[^{_BLANK}{_SIGN}]))?"
-    rf"([^{_BLANK}{_SIGN}](?:[^{_BLANK}]*[^{_BLANK}{_SIGN}])?|[{_SIGN}]+)[{_SIGN}]*"
+    rf"(?:[{_SIGN}]+(?=[^{_BLANK}{_SIGN}][^{_BLANK}]*[^{_BLANK}{_SIGN}]))?"
+    rf"([^{_BLANK}{_SIGN}][^{_BLANK}]*[^{_BLANK}{_SIGN}]|[^{_BLANK}]+)[{_SIGN}]*"
 )
 
-MAX_LITERAL_TERMS = 50_000
+MAX_LITERAL_TERMS, MAX_LITERAL_BYTES = 50_000, 4 << 20
 
 
 @dataclass(frozen=True)
@@ -64,35 +72,54 @@ class Rules:
     contrast: tuple[str, ...] = CONTRAST
     contraction: bool = True  # any word with "n't" negates
     punctuation: bool = True
+    phrases: tuple[tuple[str, float], ...] = tuple(PHRASES.items())
+    lessening: tuple[str, ...] = LESSENING
+    never: tuple[str, ...] = ("never",)
+    never_so: tuple[str, ...] = ("so", "this")
+    without: tuple[str, ...] = ("without",)  # it does not negate before the words of ``doubt``
+    doubt: tuple[str, ...] = ("doubt",)
+    least: tuple[str, ...] = ("least",)  # it negates, but for "at least" and "very least"
+    not_least: tuple[str, ...] = ("at", "very")
+    mute_before: tuple[tuple[str, str], ...] = (("kind", "of"),)  # the first word has no valence before the second
 
 
-BASE_RULES = Rules((), (), (), (), False, False)
+BASE_RULES = Rules((), (), (), (), False, False, (), (), (), (), (), (), (), (), ())
 
 
 def sentiment_words(text: Column | str) -> Column:
-    """Blank-separated words without edge punctuation; signs-only words stay, single characters go."""
+    """Blank-separated words without edge punctuation; runs like ``<3`` or ``:)`` stay whole, single characters go."""
     text = F.col(text) if isinstance(text, str) else text
     return F.filter(F.regexp_extract_all(text, F.lit(_WORD), F.lit(1)), lambda word: F.length(word) > 1)
 
 
-# Marks of words that carry no valence of their own lie above every valence; flags are added to it.
-_MARK = 1e6
-_UP, _DOWN, _NEGATES, _MUTE = 1, 2, 4, 8
+_UP, _DOWN, _NEGATES, _MUTE, _NEVER, _SO, _WITHOUT, _DOUBT, _LEAST, _NOT_LEAST, _OPENS = (1 << k for k in range(11))
 
 
 def _flags(word: Column, rules: Rules) -> Column:
-    """The mark of a word outside the lexicon; null for an ordinary word."""
-    sets = {_UP: rules.increasing, _DOWN: rules.decreasing, _NEGATES: rules.negations}
-    listed = sorted({w for terms in sets.values() for w in terms})
-    flags: Column = F.lit(None).cast("double")
-    if listed:
-        total = sum(
-            (F.when(word.isin(list(terms)), flag).otherwise(0) for flag, terms in sets.items() if terms), F.lit(0)
-        )
-        flags = F.when(word.isin(listed), total + _MARK)
-    if rules.contraction:
-        flags = F.coalesce(flags, F.when(word.contains("n't"), F.lit(_MARK + _NEGATES)))
-    return flags
+    """What a word does to others, as flags; 0 for an ordinary word."""
+    sets = {
+        _UP: rules.increasing, _DOWN: rules.decreasing, _NEGATES: rules.negations, _MUTE: _mute(rules), _NEVER: rules.never,
+        _SO: rules.never_so, _WITHOUT: rules.without, _DOUBT: rules.doubt, _LEAST: rules.least, _NOT_LEAST: rules.not_least,
+        _OPENS: [phrase.split(" ")[0] for phrase in _phrases(rules)],
+    }
+    by_word: dict[str, int] = {}
+    for flag, words in sets.items():
+        for each in words:
+            by_word[each] = by_word.get(each, 0) | flag | (_NEGATES if rules.contraction and "n't" in each else 0)
+    by_flags: dict[int, list[str]] = {}
+    for each, flags in sorted(by_word.items()):
+        by_flags.setdefault(flags, []).append(each)
+    plain = F.when(word.contains("n't"), F.lit(_NEGATES)).otherwise(F.lit(0)) if rules.contraction else F.lit(0)
+    if not by_word:
+        return plain
+    case = plain
+    for flags, words in by_flags.items():
+        case = F.when(word.isin(words), F.lit(flags)).otherwise(case)
+    return F.when(word.isin(sorted(by_word)), case).otherwise(plain)  # ordinary words are told by one look-up
+
+
+def _phrases(rules: Rules) -> list[str]:
+    return [*(phrase for phrase, _ in rules.phrases), *rules.lessening]
 
 
 def _mute(rules: Rules) -> list[str]:
@@ -100,29 +127,78 @@ def _mute(rules: Rules) -> list[str]:
     return sorted({*rules.increasing, *rules.decreasing})
 
 
-def _contribution(marks: Column, at: Column, contrast_at: Column, rules: Rules) -> Column:
-    """Valence of the word at index ``at`` after its surroundings, in billionths."""
-    valence = F.get(marks, at)
-    if rules.negations or rules.contraction or rules.increasing or rules.decreasing:
-        before = [F.get(marks, at - distance) for distance in (1, 2, 3)]
-        codes = range(_MUTE + 1)
-        direction = F.array(*[F.lit(1.0 if c & _UP else -1.0 if c & _DOWN else 0.0) for c in codes])
-        turning = F.array(*[F.lit(NEGATION_FACTOR if c & _NEGATES else 1.0) for c in codes])
+def _has(flags: Column, flag: int) -> Column:
+    return F.coalesce(flags.bitwiseAND(F.lit(flag)) != 0, F.lit(False))
+
+
+def _phrase(words: Column, at: Column, first: int, size: int) -> Column:
+    """``size`` words from ``at + first`` on, with blanks between; null before the beginning, shorter at the end."""
+    start = at + first + 1
+    return F.when(start > 0, F.array_join(F.slice(words, F.greatest(start, F.lit(1)), F.lit(size)), " "))
+
+
+#: Where a phrase may stand around a word, as (first word, number of words), the first match counts; then what may follow it.
+_BACK, _AHEAD = ((-1, 2), (-2, 3), (-2, 2), (-3, 3), (-3, 2)), ((0, 2), (0, 3))
+
+
+def _phrased(valence: Column, words: Column, at: Column, rules: Rules) -> Column:
+    """The valence after the phrases around the word; later ones override, lessening ones count on top."""
+    if rules.phrases:
+        by_value: dict[float, list[str]] = {}
+        for phrase, value in rules.phrases:
+            by_value.setdefault(value, []).append(phrase)
+
+        def value_of(place: tuple[int, int]) -> Column:
+            text, found = _phrase(words, at, *place), F.lit(None).cast("double")
+            for value, phrases in by_value.items():
+                found = F.when(text.isin(phrases), F.lit(value)).otherwise(found)
+            return found
+
+        back, ahead = [[value_of(place) for place in places] for places in (_BACK, _AHEAD)]
+        valence = F.coalesce(*reversed(ahead), *back, valence)
+    if rules.lessening:
+        before = _phrase(words, at, -3, 2).isin(list(rules.lessening)) | _phrase(words, at, -2, 2).isin(list(rules.lessening))
+        valence = valence + F.when(F.coalesce(before, F.lit(False)), F.lit(-BOOST)).otherwise(F.lit(0.0))
+    return valence
+
+
+def _contribution(values: Column, flags: Column, words: Column, at: Column, contrast_at: Column, phrased: Column, rules: Rules) -> Column:
+    """Valence of the word at index ``at`` after its surroundings, in billionths.
+
+    The three words before it act in turn, the nearest first, unless they have a valence themselves. Phrases are looked at
+    with the third, so only where it exists and has no valence.
+    """
+    valence = F.get(values, at)
+    if rules != BASE_RULES:
+        one, two, three = (F.get(flags, at - distance) for distance in (1, 2, 3))
+        alone = [F.get(values, at - distance).isNull() for distance in (1, 2, 3)]
+        turns = [F.when(_has(f, _NEGATES), F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0)) for f in (one, two, three)]
+        turns[1] = F.when(_has(two, _NEVER) & _has(one, _SO), F.lit(NEVER_SO)).when(
+            _has(two, _WITHOUT) & _has(one, _DOUBT), F.lit(1.0)
+        ).otherwise(turns[1])
+        # As published, "so" or "this" right before the word is enough here.
+        turns[2] = F.when((_has(three, _NEVER) & _has(two, _SO)) | _has(one, _SO), F.lit(NEVER_SO_FAR)).otherwise(turns[2])
+        steps = F.array(*[
+            F.struct(
+                (F.when(_has(f, _UP), 1.0).when(_has(f, _DOWN), -1.0).otherwise(0.0) * F.lit(BOOST * weight)).alias("boost"),
+                turn.alias("turn"), (f.isNotNull() & free).alias("acts"),
+            )
+            for f, weight, turn, free in zip((one, two, three), BOOST_BY_DISTANCE, turns, alone)
+        ])
 
         def look_back(value: Column, step: Column) -> Column:
-            code = (step["mark"] - _MARK).cast("int")
-            boost = F.get(direction, code) * step["boost"]
-            changed = (value + F.when(value < 0, -boost).otherwise(boost)) * F.get(turning, code)
-            return F.when(step["mark"] >= _MARK, changed).otherwise(value)
-
-        steps = F.array(
-            *[
-                F.struct(mark.alias("mark"), F.lit(BOOST * weight).alias("boost"))
-                for mark, weight in zip(before, BOOST_BY_DISTANCE)
-            ]
-        )
-        marked = (before[0] >= _MARK) | (before[1] >= _MARK) | (before[2] >= _MARK)
-        valence = F.when(marked, F.aggregate(steps, valence, look_back)).otherwise(valence)
+            changed = (value + F.when(value < 0, -step["boost"]).otherwise(step["boost"])) * step["turn"]
+            return F.when(step["acts"], changed).otherwise(value)
+
+        turning = _UP | _DOWN | _NEGATES | _NEVER | _SO
+        valence = F.when(_has(one, turning) | _has(two, turning) | _has(three, turning), F.aggregate(steps, valence, look_back)).otherwise(valence)
+        if rules.phrases or rules.lessening:
+            opens = reduce(Column.__or__, [_has(F.get(flags, at - distance), _OPENS) for distance in range(4)])
+            far = phrased & opens & three.isNotNull() & alone[2]
+            valence = F.when(far, _phrased(valence, words, at, rules)).otherwise(valence)
+        if rules.least:
+            least = _has(one, _LEAST) & alone[0] & ~_has(two, _NOT_LEAST)
+            valence = valence * F.when(least, F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0))
     if rules.contrast:
         factor = (
             F.when(contrast_at < 0, F.lit(1.0))
@@ -166,58 +242,67 @@ def label(score: Column | str) -> Column:
     )
 
 
-def _entries(lexicon: DataFrame, rules: Rules) -> DataFrame:
-    """(term, mark) with one row per term: its highest valence, or the mute mark for boosters."""
-    valued = lexicon.groupBy("term").agg(F.max(F.col("valence").cast("double")).alias("mark"))
-    mark = F.when(F.col("term").isin(_mute(rules)), F.lit(_MARK + _MUTE)).otherwise(F.col("mark"))
-    return valued.filter(F.col("term").isNotNull() & F.col("mark").isNotNull()).select("term", mark.alias("mark"))
+def _entries(lexicon: DataFrame) -> DataFrame:
+    """(term, valence) with one row per term: its highest valence."""
+    valued = lexicon.groupBy("term").agg(F.max(F.col("valence").cast("double")).alias("valence"))
+    return valued.filter(F.col("term").isNotNull() & F.col("valence").isNotNull())
 
 
 def _literal_table(entries: DataFrame) -> Column | None:
     """The entries as a literal array of small maps, addressed by the term's hash; None when too many."""
-    terms = entries.count()
-    if terms > MAX_LITERAL_TERMS:
+    terms, size = entries.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    if terms > MAX_LITERAL_TERMS or size > MAX_LITERAL_BYTES:
         return None
     buckets: list[dict[str, float]] = [{} for _ in range(max(terms, 1))]
-    placed = entries.select(F.pmod(F.hash("term"), F.lit(len(buckets))), "term", "mark")
-    for bucket, term, mark in placed.collect():
-        buckets[bucket][term] = mark
+    placed = entries.select(F.pmod(F.hash("term"), F.lit(len(buckets))), "term", "valence")
+    for bucket, term, valence in placed.collect():
+        buckets[bucket][term] = valence
     table = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,double>>")
     return F.struct(table.alias("buckets"), F.lit(len(buckets)).alias("size"))
 
 
-def _marks_by_literals(df: DataFrame, table: Column, rules: Rules) -> DataFrame:
-    """Per word its valence, or the mark of a word that acts on others, or null."""
+def _values_by_literals(df: DataFrame, table: Column) -> DataFrame:
+    """Per word its valence, or null."""
 
-    def mark(word: Column) -> Column:
-        bucket = F.get(table["buckets"], F.pmod(F.hash(word), table["size"]))
-        return F.coalesce(F.try_element_at(bucket, word), _flags(word, rules))
+    def value(word: Column) -> Column:
+        return F.try_element_at(F.get(table["buckets"], F.pmod(F.hash(word), table["size"])), word)
 
-    return df.withColumn("_marks", F.transform("_words", mark))
+    return df.withColumn("_values", F.transform("_words", value))
 
 
-def _marks_by_join(df: DataFrame, entries: DataFrame, rules: Rules, key: str) -> DataFrame:
+def _values_by_join(df: DataFrame, entries: DataFrame, key: str) -> DataFrame:
     """The same by join; ``df`` has one row per ``key``, so a group is the words of one text."""
     exploded = df.select(key, F.posexplode("_words").alias("_at", "_word"))
-    valued = lookup_join(exploded, entries.select(F.col("term").alias("_word"), "mark"), "_word", "left", max_rows=0)
-    marked = valued.select(key, "_at", F.coalesce("mark", _flags(F.col("_word"), rules)).alias("_mark"))
-    gathered = marked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_at", "_mark"))).alias("_pairs"))
-    marks = gathered.select(key, F.transform("_pairs", lambda pair: pair["_mark"]).alias("_marks"))
-    return df.join(marks, key, "left")
+    valued = lookup_join(exploded, entries.withColumnRenamed("term", "_word"), "_word", "left", max_rows=0)
+    gathered = valued.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_at", "valence"))).alias("_pairs"))
+    values = gathered.select(key, F.transform("_pairs", lambda pair: pair["valence"]).alias("_values"))
+    return df.join(values, key, "left")
 
 
-def _scored(marked: DataFrame, columns: list[str], rules: Rules, text: str, into: str) -> DataFrame:
-    """Score rows that carry their words and, aligned with them, the words' marks."""
+def _scored(valued: DataFrame, columns: list[str], rules: Rules, text: str, into: str) -> DataFrame:
+    """Score rows that carry their words and, aligned with them, the words' valences."""
+    marked = valued.withColumn("_flags", F.transform("_words", lambda word: _flags(word, rules) if rules != BASE_RULES else F.lit(0)))
     places = [F.nullif(F.array_position("_words", word), F.lit(0)) for word in rules.contrast]
     first = F.coalesce(F.array_min(F.array(*places)), F.lit(0)).cast("int") - 1 if places else F.lit(-1)
-    places_of_value = F.transform("_marks", lambda mark, i: F.when(mark < _MARK, i))
-    located = marked.withColumns(
-        {"_contrast_at": first, "_hits": F.filter(places_of_value, lambda i: i.isNotNull())}
-    )
+
+    def carries(value: Column, at: Column) -> Column:
+        quiet = _has(F.get("_flags", at), _MUTE)
+        for word, following in rules.mute_before:
+            quiet = quiet | F.coalesce((F.get("_words", at) == word) & (F.get("_words", at + 1) == following), F.lit(False))
+        return F.when(value.isNotNull() & ~quiet, at)
+
+    phrases = _phrases(rules)
+    joined = F.array_join("_words", " ")
+    phrased = reduce(Column.__or__, [joined.contains(phrase) for phrase in phrases]) if phrases else F.lit(False)
+    located = marked.withColumns({
+        "_contrast_at": first, "_hits": F.filter(F.transform("_values", carries), lambda i: i.isNotNull()), "_phrased": phrased,
+    })
     total = F.aggregate(
         "_hits",
         F.lit(0).cast("long"),
-        lambda acc, at: acc + _contribution(F.col("_marks"), at, F.col("_contrast_at"), rules),
+        lambda acc, at: acc + _contribution(
+            F.col("_values"), F.col("_flags"), F.col("_words"), at, F.col("_contrast_at"), F.col("_phrased"), rules
+        ),
     )
     summed = located.withColumn("_total", F.coalesce(total, F.lit(0).cast("long")))
     score = F.coalesce(_score(F.col("_total"), F.col(text), rules), F.lit(0.0))
@@ -238,15 +323,15 @@ def score_sentiment(
     every row is scored in place. A larger one is joined, word by word, once per distinct text; only
     the scores travel back to the rows.
     """
-    entries = _entries(lexicon, rules)
+    entries = _entries(lexicon)
     table = None if by_join else _literal_table(entries)
     if table is not None:
-        marked = _marks_by_literals(df.withColumn("_words", sentiment_words(text)), table, rules)
-        return _scored(marked, df.columns, rules, text, into)
+        valued = _values_by_literals(df.withColumn("_words", sentiment_words(text)), table)
+        return _scored(valued, df.columns, rules, text, into)
     key = F.sha2(F.col(text), 256)
     texts = df.select(text).filter(F.col(text).isNotNull()).distinct()
     worded = texts.select(key.alias("_text_key"), text, sentiment_words(text).alias("_words"))
-    marked = _marks_by_join(worded, entries, rules, "_text_key")
-    scores = _scored(marked, ["_text_key"], rules, text, into)
+    valued = _values_by_join(worded, entries, "_text_key")
+    scores = _scored(valued, ["_text_key"], rules, text, into)
     joined = lookup_join(df.withColumn("_text_key", key), scores, "_text_key", "left")
     return joined.select(*df.columns, F.coalesce(into, F.lit(0.0)).alias(into))

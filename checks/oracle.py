@@ -9,7 +9,6 @@ from __future__ import annotations
 import re
 
 from bizlens.functions.text import STOP_WORDS, TOKEN_PATTERN
-from bizlens.operators import sentiment as rules
 from bizlens.schemas import TABLES
 from checks.standins import BUSINESS, RULE_WORDS, STANDIN_RULES
 
@@ -128,33 +127,60 @@ CTES: dict[str, str] = {
           AND NOT regexp_matches(word, '^''[a-z|0-9]$') AND NOT regexp_full_match(word, '\\p{{Nd}}+')""",
     "sentiment_words": f"""
         SELECT key, word, row_number() OVER (PARTITION BY key ORDER BY pos) AS pos
-        FROM (SELECT key, pos, CASE WHEN length(bare) > 0 THEN bare ELSE word END AS word
+        FROM (SELECT key, pos, CASE WHEN length(bare) > 1 THEN bare ELSE word END AS word
               FROM (SELECT key, pos, word, regexp_replace(word, {_text(_EDGES)}, '', 'g') AS bare
                     FROM (SELECT key, unnest(found) AS word, generate_subscripts(found, 1) AS pos
                           FROM (SELECT key, regexp_extract_all(text, {_text(_BLANKS)}) AS found FROM texts))))
         WHERE length(word) > 1""",
     "sentiment_values": f"""
         SELECT key, word, pos, valence, min(CASE WHEN {_in('word', STANDIN_RULES.contrast)} THEN pos END) OVER (PARTITION BY key) AS contrast,
-               {', '.join(f"lag(word, {d}) OVER w AS w{d}, lag(valence, {d}) OVER w AS v{d}" for d in (1, 2, 3))}
+               {', '.join(f"lag(word, {d}) OVER w AS w{d}, lag(valence, {d}) OVER w AS v{d}" for d in (1, 2, 3))},
+               lead(word, 1) OVER w AS n1, lead(word, 2) OVER w AS n2
         FROM sentiment_words LEFT JOIN lexicon ON word = term
         WINDOW w AS (PARTITION BY key ORDER BY pos)""",
 }
 
 
-def _look_back(distance: int, weight: float) -> str:
-    neutral = f"w{distance} IS NOT NULL AND v{distance} IS NULL"
-    boost = rules.BOOST * weight
-    up, down = _in(f"w{distance}", STANDIN_RULES.increasing), _in(f"w{distance}", STANDIN_RULES.decreasing)
-    negates = f"({_in(f'w{distance}', STANDIN_RULES.negations)} OR contains(w{distance}, 'n''t'))"
-    signed = f"CASE WHEN value < 0 THEN -1 ELSE 1 END"
-    return f"""(value + {signed} * CASE WHEN {neutral} AND {up} THEN {boost!r}::DOUBLE
-                 WHEN {neutral} AND {down} THEN {-boost!r}::DOUBLE ELSE 0::DOUBLE END)
-               * CASE WHEN {neutral} AND {negates} THEN {rules.NEGATION_FACTOR!r}::DOUBLE ELSE 1::DOUBLE END"""
+def _turn(distance: int) -> str:
+    """What the word at a distance multiplies the value by."""
+    r, w = STANDIN_RULES, f"w{distance}"
+    negates = f"WHEN {_in(w, r.negations)} OR contains({w}, 'n''t') THEN -0.74::DOUBLE ELSE 1::DOUBLE END"
+    if distance == 2:
+        return f"""CASE WHEN {_in(w, r.never)} AND {_in('w1', r.never_so)} THEN 1.5::DOUBLE
+                        WHEN {_in(w, r.without)} AND {_in('w1', r.doubt)} THEN 1::DOUBLE {negates}"""
+    if distance == 3:
+        return f"""CASE WHEN ({_in(w, r.never)} AND {_in('w2', r.never_so)}) OR {_in('w1', r.never_so)} THEN 1.25::DOUBLE {negates}"""
+    return f"CASE {negates}"
 
 
-_hits = f"SELECT *, valence AS value FROM sentiment_values WHERE valence IS NOT NULL AND NOT {_in('word', STANDIN_RULES.increasing + STANDIN_RULES.decreasing)}"
-for _d, _w in enumerate(rules.BOOST_BY_DISTANCE, start=1):
-    _hits = f"SELECT * REPLACE ({_look_back(_d, _w)} AS value) FROM ({_hits})"
+def _look_back(distance: int, boost: float) -> str:
+    up, down = _in(f"w{distance}", STANDIN_RULES.increasing), _in(f"w{distance}", STANDIN_RULES.decreasing)
+    return f"""CASE WHEN w{distance} IS NULL OR v{distance} IS NOT NULL THEN value ELSE
+               (value + CASE WHEN value < 0 THEN -1 ELSE 1 END
+                * CASE WHEN {up} THEN {boost!r}::DOUBLE WHEN {down} THEN {-boost!r}::DOUBLE ELSE 0::DOUBLE END) * {_turn(distance)} END"""
+
+
+def _phrased() -> str:
+    """The value after the phrases around the word; those ahead override those behind."""
+    def value_of(text: str) -> str:
+        return f"CASE {text} " + " ".join(f"WHEN {_text(p)} THEN {v!r}::DOUBLE" for p, v in STANDIN_RULES.phrases) + " END"
+
+    places = ["word || ' ' || n1 || ' ' || n2", "word || ' ' || n1", "w1 || ' ' || word", "w2 || ' ' || w1 || ' ' || word",
+              "w2 || ' ' || w1", "w3 || ' ' || w2 || ' ' || w1", "w3 || ' ' || w2"]
+    lessened = " OR ".join(_in(f"w{d + 1} || ' ' || w{d}", STANDIN_RULES.lessening) for d in (2, 1))
+    return f"""CASE WHEN w3 IS NULL OR v3 IS NOT NULL THEN value
+               ELSE coalesce({', '.join(map(value_of, places))}, value) + CASE WHEN {lessened} THEN -0.293::DOUBLE ELSE 0::DOUBLE END END"""
+
+
+_mute = " OR ".join(f"(word = {_text(a)} AND n1 = {_text(b)})" for a, b in STANDIN_RULES.mute_before)
+_hits = f"""SELECT *, valence AS value FROM sentiment_values
+    WHERE valence IS NOT NULL AND NOT {_in('word', STANDIN_RULES.increasing + STANDIN_RULES.decreasing)} AND NOT coalesce({_mute}, FALSE)"""
+_least = f"{_in('w1', STANDIN_RULES.least)} AND v1 IS NULL AND NOT coalesce({_in('w2', STANDIN_RULES.not_least)}, FALSE)"
+for _step in (
+    *(_look_back(d, boost) for d, boost in ((1, 0.293), (2, 0.293 * 0.95), (3, 0.293 * 0.9))),
+    _phrased(), f"CASE WHEN {_least} THEN value * -0.74::DOUBLE ELSE value END",
+):
+    _hits = f"SELECT * REPLACE ({_step} AS value) FROM ({_hits})"
 CTES["scores"] = f"""
     SELECT t.key, round(coalesce(amount / sqrt(amount * amount + 15::DOUBLE), 0), 4) AS score
     FROM texts t LEFT JOIN (
@@ -317,6 +343,7 @@ FINALS: dict[str, str] = {
     "text_words": "SELECT word, count(*) AS n FROM review_text GROUP BY ALL",
     # sentiment
     "sent_lexicon_score": "SELECT key AS review_id, score FROM review_scores",
+    "sent_by_join": "SELECT key AS review_id, score FROM review_scores",
     "sent_label": "SELECT sentiment, count(*) AS n FROM review GROUP BY ALL",
     # tables
     "mart_business": "SELECT * FROM business",

@@ -21,9 +21,18 @@ STANDIN_RULES = Rules(
     increasing=("with", "der"),
     decreasing=("for", "les"),
     contrast=("this", "but"),
+    phrases=(("and attion", 2.5), ("attion to thanedble", -1.5), ("la de", 1.25)),
+    lessening=("de la", "the orre"),
+    never=("que", "that"),
+    never_so=("with", "der"),
+    without=("nicht",),
+    doubt=("die", "der"),
+    least=("by", "des"),
+    not_least=("the", "la"),
+    mute_before=(("is", "the"),),
 )
 RULE_WORDS = sorted(
-    {*STANDIN_RULES.negations, *STANDIN_RULES.increasing, *STANDIN_RULES.decreasing, *STANDIN_RULES.contrast}
+    {*STANDIN_RULES.negations, *STANDIN_RULES.increasing, *STANDIN_RULES.decreasing, *STANDIN_RULES.contrast, *STANDIN_RULES.least}
 )
 
 

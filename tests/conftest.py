@@ -28,7 +28,8 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def lexicon(spark):
     return spark.createDataFrame(
-        [("great", 3.1), ("good", 1.9), ("love", 3.2), ("bad", -2.5), ("awful", -2.0), (":)", 2.0)],
+        [("great", 3.1), ("good", 1.9), ("love", 3.2), ("bad", -2.5), ("awful", -2.0), (":)", 2.0),
+         ("<3", 1.9), ("kind", 2.4), ("kiss", 1.8), ("death", -2.9)],
         "term string, valence double",
     )
 
