@@ -522,8 +522,9 @@ def load_equals_ingest(s: Standins) -> DataFrame:
     counts = []
     for name in names:
         both = loaded[name].withColumn("_load", F.lit(1)).unionByName(added[name].withColumn("_load", F.lit(-1)))
-        differing = both.groupBy(*loaded[name].columns).agg(F.sum("_load").alias("d")).agg(F.coalesce(F.sum(F.abs("d")), F.lit(0)).alias("differing"))
-        counts.append(_count(loaded[name], table_name=name).crossJoin(F.broadcast(differing)))
+        each = both.groupBy(*loaded[name].columns).agg(F.sum("_load").alias("d"), F.count_if(F.col("_load") == 1).alias("n"))
+        sums = [F.coalesce(F.sum(x), F.lit(0)).alias(c) for c, x in (("n", F.col("n")), ("differing", F.abs("d")))]
+        counts.append(each.agg(*sums).select(F.lit(name).alias("table_name"), "n", "differing"))
     return _stack(counts)
 
 
