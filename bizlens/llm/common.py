@@ -17,7 +17,7 @@ from bizlens.session import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_CACHED_WORDS = 600_000
 #: Centres taken from a bucket of candidates, by round: the first, then all up to these ranks.
-RANKS = (1, 16)
+RANKS = (1, 32)
 
 
 def text_of(docs: DataFrame, column: str = "text") -> Column:
@@ -115,46 +115,55 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
-def nibbles_alike(a: Column, b: Column, slots: int) -> Column:
-    """How many of ``slots`` 4-bit values agree, packed 16 to a long in the fields s0, s1, ... of two sketches.
+def parity(elements: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap of ``64 * words`` bits: how many of the distinct ``elements`` fall on each bit, modulo 2."""
+    ones = np.bincount((elements % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(ones.astype(np.uint8), bitorder="little").view(np.int64)
 
-    Places beyond ``slots`` must hold the same in all sketches; they aren't counted.
+
+def may_pass(a: Column, b: Column, words: int, threshold: float) -> Column:
+    """False only for pairs of sets whose Jaccard similarity is below ``threshold``, by their sketches (size, bits).
+
+    The bits in which two ``parity`` bitmaps differ are never more than the elements that only one of the sets has, so no
+    pair that passes the exact test is lost.
     """
-    words, total = -(-slots // 16), F.lit(0)
+    differ = F.lit(0)
     for k in range(words):
-        x = a[f"s{k}"].bitwiseXOR(b[f"s{k}"])
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111))
-        total = total + F.bit_count(x)
-    return F.lit(slots) - total
+        differ = differ + F.bit_count(a["bits"][k].bitwiseXOR(b["bits"][k]))
+    sizes = F.least(a["size"], b["size"]) >= threshold * F.greatest(a["size"], b["size"]) - 1e-6
+    return sizes & (differ * (1 + threshold) <= (a["size"] + b["size"]) * (1 - threshold) + 1e-6)
+
+
+def shared_buckets(buckets: DataFrame) -> DataFrame:
+    """The rows of ``buckets(bucket, node)`` whose bucket holds two different nodes, with its ``size``; stored."""
+    dealt = buckets.repartition("bucket")
+    # Both columns are used, so that the join takes the same shuffle again.
+    several = dealt.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("size"))
+    return materialize(dealt.join(several.filter("lo <> hi").select("bucket", "size"), "bucket"), "buckets")
 
 
 def linked(
-    buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], sketches: DataFrame, close: Callable[[Column, Column], Column]
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """Classes of nodes, from candidates that share a bucket and an exact test of pairs.
+    sized: DataFrame, verify: Callable[[DataFrame], DataFrame], sketches: DataFrame, close: Callable[[Column, Column], Column]
+) -> DataFrame | None:
+    """Classes of nodes, ``(node, root)``, from candidates that share a bucket and an exact test of pairs; None without any.
 
-    ``buckets(bucket, node)``, distinct; ``verify(pairs(a, b))`` returns the pairs that pass. Returns ``(links,
-    (node, root))``, or Nones if no bucket has two nodes.
+    ``sized`` comes from ``shared_buckets``; ``verify(pairs(a, b))`` returns the pairs that pass. ``close`` compares two
+    rows of ``sketches(node, sketch)`` and may be true for more pairs than pass, but never false for one that passes.
 
     A bucket isn't expanded into all its pairs. Its nodes are ranked by how many nodes they meet over all their
     buckets, since the text that others were copied from meets most. First each node is tested against the node of
     rank 1 of its buckets. Then classes are formed, and only nodes that stand in different classes are compared
-    further: with ranks up to 16, then up to 128, and so on by eights until the largest bucket is through. In these rounds the
-    join itself compares ``sketches(node, sketch)`` of both nodes by ``close``, so that only pairs that may well pass
-    become rows. So every pair of a bucket is tested, or far apart by its sketches, or already in one class.
+    further: with ranks up to 32, then up to 1,024, and so on until the largest bucket is through. In these rounds the
+    join itself compares sketches, so that only pairs that may well pass become rows. So every pair of a bucket is
+    tested, or shown to be too far apart, or already in one class.
     """
-    sized = buckets.join(
-        buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "bucket"
-    )
-    sized = materialize(sized, "buckets")
     largest = sized.agg(F.max("size")).first()[0]
     if not largest:
-        return None, None
+        return None
     degree = sized.groupBy("node").agg(F.sum("size").alias("degree"))
     order = Window.partitionBy("bucket").orderBy(F.desc("degree"), "node")
     nodes = materialize(sized.join(degree, "node"), "met")
-    tested, links, classes, low, high = None, None, None, 0, RANKS[0]
+    links, classes, low, high = None, None, 0, RANKS[0]
     while low < largest - 1 or low == 0:
         current = nodes
         if classes is not None:
@@ -163,22 +172,24 @@ def linked(
                 current.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                 .filter("lo <> hi").select("bucket")
             )
-            current = current.join(open_buckets, "bucket", "left_semi").join(sketches, "node")
+            current = materialize(current.join(open_buckets, "bucket", "left_semi"), "open")
         else:
             current = current.withColumn("root", F.col("node"))
         # The limit on the rank cuts each bucket before the shuffle, so no task holds a whole one.
         centres = current.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= high)
-        further = [F.col("sketch").alias("c_sketch")] if low else []
         centres = centres.filter(F.col("rank") > low).select(
-            F.col("bucket").alias("c_bucket"), F.col("node").alias("c"), F.col("root").alias("c_root"), *further
+            F.col("bucket").alias("c_bucket"), F.col("node").alias("c"), F.col("root").alias("c_root")
         )
+        members = current.select("bucket", "node", "root")
         met = (F.col("bucket") == F.col("c_bucket")) & (F.col("root") != F.col("c_root"))
+        if low:
+            members = members.join(sketches, "node")
+            centres = centres.join(sketches.select(F.col("node").alias("c"), F.col("sketch").alias("c_sketch")), "c")
+            met &= close(F.col("sketch"), F.col("c_sketch"))
         pairs = (
-            current.join(centres, met & close(F.col("sketch"), F.col("c_sketch")) if low else met)
+            members.join(centres, met)
             .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
         )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         if low and pairs.isEmpty():
             if current.filter(F.col("size") > high + 1).isEmpty():
@@ -186,7 +197,6 @@ def linked(
         else:
             found = materialize(verify(pairs), "verified")
             links = found if links is None else links.unionByName(found)
-            tested = pairs if tested is None else tested.unionByName(pairs)
-            classes = components(links)
-        low, high = high, RANKS[1] if high < RANKS[1] else high * 8
-    return links, classes
+            classes = materialize(components(links), "classes")
+        low, high = high, high * RANKS[1]
+    return classes

