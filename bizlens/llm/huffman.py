@@ -18,8 +18,10 @@ BLOCK_TOKENS = 65_536
 STRIDE = 64
 FILE = (
     "part int, block int, start long, n_tokens long, doc_ids array<long>, sizes array<int>, "
-    "checkpoints array<int>, payload binary"
+    "checkpoints array<long>, payload binary"
 )
+#: Ids are counted and held as 16 bits, and a code of at most ``LIMIT`` bits names no more of them.
+MOST_IDS = 1 << LIMIT
 
 
 def code_lengths(weights: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -49,8 +51,7 @@ def code_lengths(weights: np.ndarray, limit: int = LIMIT) -> np.ndarray:
 class Code:
     """A canonical code over the ids that occur: arrays to encode by id, and a table to decode by ``LIMIT`` bits."""
 
-    def __init__(self, ids: np.ndarray, counts: np.ndarray) -> None:
-        lengths = code_lengths(counts)
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray) -> None:
         order = np.lexsort((ids, lengths))
         self.size = np.zeros(int(ids.max(initial=0)) + 1, np.int64)
         self.word = np.zeros(len(self.size), np.int64)
@@ -89,11 +90,17 @@ class Code:
 
 
 def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id, ids_crc32, ids`` (little-endian 16-bit ids, the end id 2 last) of every text, stored. Null is empty."""
+    """``doc_id, ids_crc32, ids`` (little-endian 16-bit ids, the end id 2 last) of every text, stored. Null is empty.
+
+    Tokenizers of more than 65,536 ids raise a ValueError.
+    """
     path = path or tokenizer_path("byte_bpe_50k.json")
 
     def run(batches):
-        encode = encoder(path, BYTE_LEVEL).encode
+        found = encoder(path, BYTE_LEVEL)
+        encode = found.encode
+        if found.tokenizer.get_vocab_size() > MOST_IDS:
+            raise ValueError(f"the token files hold ids below {MOST_IDS}; this tokenizer has more")
         for batch in chunks(batches, "text", 4 << 20):
             ids = [np.append(x, END) for x in encode(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays(
@@ -105,32 +112,35 @@ def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
     return materialize(rows.mapInArrow(run, "doc_id long, ids_crc32 long, ids binary"), "tokens")
 
 
-def global_code(tokens: DataFrame) -> Code:
-    """The code for the counts of all ids. At most 65,536 counts come to the driver, one for each id of the vocabulary."""
+def global_lengths(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """All ids that occur, and the code lengths for their counts. At most 65,536 counts come to the driver, one for each id."""
 
     def count(batches):
-        total = np.zeros(1 << 16, np.int64)
+        total = np.zeros(MOST_IDS, np.int64)
         for batch in batches:
             for ids in batch.column("ids"):
-                total += np.bincount(np.frombuffer(ids.as_buffer(), "<u2"), minlength=1 << 16)
+                total += np.bincount(np.frombuffer(ids.as_buffer(), "<u2"), minlength=MOST_IDS)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["id", "n"])
 
     counted = tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     rows = sorted((r.id, r.n) for r in counted.collect())
-    return Code(np.array([i for i, _ in rows], np.int64), np.array([n for _, n in rows], np.int64))
+    return np.array([i for i, _ in rows], np.int64), code_lengths(np.array([n for _, n in rows], np.int64))
 
 
-def write(docs: DataFrame, folder: str, path: str | None = None) -> Code:
-    """Write the ids of ``docs(doc_id, text)`` to ``folder`` in ascending order of doc_id (nulls first) and return the code.
+def write(docs: DataFrame, folder: str, path: str | None = None) -> None:
+    """Write the ids of ``docs(doc_id, text)`` to ``folder`` in ascending order of doc_id (nulls first).
 
-    A file row is one block: whole documents, at least ``BLOCK_TOKENS`` ids unless it ends the part, their ids and
+    ``folder/code`` has the code length of each id, from which the canonical code follows; ``folder/blocks`` has the ids. A
+    row there is one block: whole documents, at least ``BLOCK_TOKENS`` ids unless it ends the part, their ids and
     sizes, where the block starts within its part, a bit offset for every 64th id, and the bits. Parts follow each
     other in order of doc_id. Rows that share a doc_id are all written, in order of their checksum.
     """
     tokens = tokenized(docs, path)
-    code = global_code(tokens)
-    shared = docs.sparkSession.sparkContext.broadcast(code)
+    ids, lengths = global_lengths(tokens)
+    shared = docs.sparkSession.sparkContext.broadcast(Code(ids, lengths))
+    table = pa.table({"id": pa.array(ids, pa.int64()), "bits": pa.array(lengths, pa.int64())})
+    docs.sparkSession.createDataFrame(table).coalesce(1).write.mode("errorifexists").parquet(f"{folder}/code")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Ties are spread by checksum, so that a much repeated id may fill several parts.
     ordered = tokens.repartitionByRange(parts, "doc_id", "ids_crc32").sortWithinPartitions("doc_id", "ids_crc32")
@@ -147,7 +157,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None) -> Code:
                 schema=schema,
             )
 
-        schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("checkpoints", pa.list_(pa.int32())), ("payload", pa.binary())])
+        schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("checkpoints", pa.list_(pa.int64())), ("payload", pa.binary())])
         for batch in batches:
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
                 parts.append(np.frombuffer(ids.as_py(), "<u2").astype(np.int64))
@@ -160,13 +170,14 @@ def write(docs: DataFrame, folder: str, path: str | None = None) -> Code:
         if parts:
             yield row()
 
-    ordered.mapInArrow(blocks, FILE).write.mode("errorifexists").parquet(folder)
-    return code
+    ordered.mapInArrow(blocks, FILE).write.mode("errorifexists").parquet(f"{folder}/blocks")
 
 
-def read(spark: SparkSession, folder: str, code: Code) -> DataFrame:
+def read(spark: SparkSession, folder: str) -> DataFrame:
     """Decode the files: ``doc_id, start, n_tokens, ids_crc32``; ``start`` counts all ids before the document."""
-    files = spark.read.schema(FILE).parquet(folder)
+    lengths = spark.read.schema("id long, bits long").parquet(f"{folder}/code").collect()  # at most 65,536 rows
+    code = Code(np.array([r.id for r in lengths], np.int64), np.array([r.bits for r in lengths], np.int64))
+    files = spark.read.schema(FILE).parquet(f"{folder}/blocks")
     totals = files.groupBy("part").agg(F.max(F.col("start") + F.col("n_tokens")).alias("n")).collect()  # a row per part
     before, at = {}, 0
     for part, n in sorted((r.part, r.n) for r in totals):
@@ -176,14 +187,15 @@ def read(spark: SparkSession, folder: str, code: Code) -> DataFrame:
     def decode(batches):
         code, before = shared.value
         for batch in batches:
-            for row in batch.to_pylist():
-                ids = code.decode(row["payload"], np.array(row["checkpoints"]), row["n_tokens"])
-                sizes = np.array(row["sizes"], np.int64)
+            for k in range(batch.num_rows):
+                row = {name: batch.column(name)[k] for name in batch.schema.names}
+                ids = code.decode(row["payload"].as_py(), row["checkpoints"].values.to_numpy(), row["n_tokens"].as_py())
+                sizes = row["sizes"].values.to_numpy().astype(np.int64)
                 ends = np.cumsum(sizes)
-                starts = before[row["part"]] + row["start"] + ends - sizes
+                starts = before[row["part"].as_py()] + row["start"].as_py() + ends - sizes
                 crcs = [crc_of(ids[a:b]) for a, b in zip(ends - sizes, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(starts), pa.array(sizes), pa.array(crcs, pa.int64())],
+                    [row["doc_ids"].values, pa.array(starts), pa.array(sizes), pa.array(crcs, pa.int64())],
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
@@ -197,4 +209,5 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     no rows.
     """
     folder = new_folder(docs.sparkSession, "huffman")
-    return read(docs.sparkSession, folder, write(docs, folder, path))
+    write(docs, folder, path)
+    return read(docs.sparkSession, folder)

@@ -19,6 +19,21 @@ ODD_SPACE = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0\u1680\u180e\u2000-
 _encoders: dict[tuple, Encoder] = {}
 
 
+def byte_letters() -> dict[int, int]:
+    """The characters by which byte-level tokenizers spell bytes: visible ones stand for themselves, the others follow from 256."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(visible)]
+    return {b: b for b in visible} | {b: 256 + k for k, b in enumerate(others)}
+
+
+class Numbers(dict):
+    """Numbers for pieces, in the order in which they are first asked for."""
+
+    def __missing__(self, piece):
+        number = self[piece] = len(self)
+        return number
+
+
 class Encoder:
     """Ids of texts, equal to the library's own, from remembered ids of their pieces.
 
@@ -34,16 +49,22 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.find, self.lower = re.compile(pattern).findall, lower
+        plain = self.tokenizer.normalizer is None and type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel"
+        self.letters = byte_letters() if plain else None
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.odd, self.size = np.zeros(1024, bool), np.zeros(1024, np.int64)
+        self.known = Numbers()
+        self.odd, self.size = np.zeros(1024, bool), np.zeros(1024, np.int32)
         self.begin, self.flat, self.used = np.zeros(1024, np.int64), np.zeros(4096, np.uint32), 0
 
     def learn(self, new: list[str], first: int) -> None:
         """Encode pieces whose numbers begin at ``first``."""
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        if self.letters:  # a piece needs no more splitting: its merges alone give its ids
+            merge, letters = self.tokenizer.model.tokenize, self.letters
+            ids = [[t.id for t in merge(x.encode().decode("latin-1").translate(letters))] for x in new]
+        else:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         last, total = first + len(new), int(sizes.sum())
         if last > len(self.size):
@@ -63,16 +84,15 @@ class Encoder:
         known, numbers, bounds, first = self.known, [], [0], len(self.known)
         for text in texts:
             pieces = self.find(text.lower() if self.lower else text)
-            numbers.append(np.fromiter([known.setdefault(p, len(known)) for p in pieces], np.int64, len(pieces)))
+            numbers.append(np.fromiter(map(known.__getitem__, pieces), np.int32, len(pieces)))
             bounds.append(bounds[-1] + len(pieces))
         if len(known) > first:
             self.learn(list(known)[first:], first)
-        number = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
+        number = np.concatenate(numbers) if numbers else np.zeros(0, np.int32)
         sizes = self.size[number]
-        ends = np.concatenate(([0], np.cumsum(sizes)))
-        within = np.arange(ends[-1]) - np.repeat(ends[:-1], sizes)
-        flat = self.flat[np.repeat(self.begin[number], sizes) + within]
-        odd = np.concatenate(([0], np.cumsum(self.odd[number])))
+        ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+        flat = self.flat[np.repeat(self.begin[number] - ends[:-1], sizes) + np.arange(ends[-1])]
+        odd = np.concatenate(([0], np.cumsum(self.odd[number], dtype=np.int32)))
         out = [flat[ends[a] : ends[b]] for a, b in zip(bounds, bounds[1:], strict=False)]
         # Characters may split pieces elsewhere than here or change under lower-casing.
         again = [i for i, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if odd[b] > odd[a] or ODD_SPACE.search(texts[i])]

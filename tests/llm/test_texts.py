@@ -2,9 +2,13 @@
 
 import collections
 import hashlib
+import json
 import math
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -83,11 +87,39 @@ def test_code_is_limited_and_complete():
     counts = np.array([2**k for k in range(40)], np.int64)
     lengths = huffman.code_lengths(counts)
     assert lengths.max() <= huffman.LIMIT and sum(2.0 ** -int(n) for n in lengths) <= 1
-    code = huffman.Code(np.arange(40) * 7, counts)
+    code = huffman.Code(np.arange(40) * 7, lengths)
     ids = np.random.default_rng(0).choice(np.arange(40) * 7, 5_000)
     assert (code.decode(*code.encode(ids), len(ids)) == ids).all()
 
 
+def test_token_files_are_read_from_the_folder_alone(spark, tmp_path):
+    found, docs = documents(spark)
+    folder = str(tmp_path / "tokens")
+    huffman.write(docs, folder)
+    script = f"""
+import json, sys
+sys.path.insert(0, {str(Path(__file__).parents[2])!r})
+import numpy as np, pyarrow.parquet as pq
+from bizlens.llm.huffman import Code
+table = pq.read_table({folder!r} + "/code")
+code = Code(table["id"].to_numpy(), table["bits"].to_numpy())
+blocks = pq.read_table({folder!r} + "/blocks").to_pylist()
+blocks.sort(key=lambda b: (b["part"], b["block"]))
+out = []
+for b in blocks:
+    ids = code.decode(b["payload"], np.array(b["checkpoints"], np.int64), b["n_tokens"]).tolist()
+    for doc, n in zip(b["doc_ids"], b["sizes"]):
+        out.append([doc, ids[:n]])
+        ids = ids[n:]
+print(json.dumps(out))
+"""
+    shown = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, check=True).stdout
+    got = json.loads(shown.splitlines()[-1])
+    assert [d for d, _ in got] == sorted((d for d, _ in got), key=lambda d: (d is not None, d or 0))
+    want = [(str(i), [*ids_of("byte_bpe_50k.json", t), huffman.END]) for i, t in found]
+    assert sorted((str(d), ids) for d, ids in got) == sorted(want)
+
+
 def test_packing_is_gapless_and_whole(spark):
     found, docs = documents(spark)
     got = packing.packed(docs).collect()
