@@ -16,7 +16,7 @@ THRESHOLD = 0.8
 ROWS = 4
 BANDS = 24
 #: Longs of the bitmap of a text's shingles that rules out pairs.
-BITMAP = 32
+BITMAP = 8
 
 
 def bag(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
