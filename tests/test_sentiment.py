@@ -141,6 +141,28 @@ def test_large_lexicon_goes_through_the_join(spark, monkeypatch):
     assert scored.first()["score"] == round(2.7 / math.sqrt(2.7**2 + 15), 4)
 
 
+@pytest.mark.parametrize("full", [True, False])
+def test_a_lexicon_beyond_the_plan_moves_no_text(spark, monkeypatch, full):
+    from bizlens.operators import sentiment
+
+    monkeypatch.setattr(sentiment, "MAX_LITERAL_TERMS", 2)
+    made = [*texts(), None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(made)], "id int, text string")
+    lexicon = spark.createDataFrame([*LEXICON.items(), (None, 1.0), ("unvalued", None)], "term string, valence double")
+    scored = score_sentiment(df, lexicon, Rules() if full else BASE_RULES)
+    shown = plan(scored)
+    assert "sha2" not in shown and "_both" not in shown  # no key to join texts by, and no row that carries the table
+    found = {r["id"]: r["score"] for r in scored.collect()}
+    assert found == {i: pytest.approx(by_hand(t, full) if t else 0.0, abs=1e-4) for i, t in enumerate(made)}
+
+
+def test_joined_scores_are_made_once(spark, lexicon):
+    df = spark.createDataFrame([("good",), ("good",), ("not bad",)], "text string")
+    scored = score_sentiment(df, lexicon, by_join=True)
+    assert "regexp_extract_all" not in plan(scored)  # texts are scored when the plan is built, not when sizes are measured and again
+    assert sorted(r["score"] for r in scored.collect()) == sorted(by_hand(t) for t in ("good", "good", "not bad"))
+
+
 def test_planted_phrases_and_exceptions(spark, lexicon):
     known = spark.createDataFrame([*LEXICON.items()], "term string, valence double")
     cases = {
