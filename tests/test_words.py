@@ -84,6 +84,15 @@ def test_lemma_lookup_does_not_shuffle_the_words(spark):
     assert "Exchange" not in big_side and "EvalPython" not in shown
 
 
+def test_of_a_large_dictionary_only_forms_that_occur_are_joined(spark):
+    nouns = spark.range(200).select(F.concat(F.lit("noun"), "id").alias("lemma"))
+    forms = lemma_forms(nouns)
+    words = spark.createDataFrame([("1", "noun7s"), ("1", "noun7s"), ("2", "noun8"), ("2", "other"), ("3", None)], "id string, word string")
+    found = lemmatize(words, forms, max_rows=100)
+    assert forms.count() > 100 and "_salt" not in plan(found) and "BroadcastHashJoin" in plan(found)
+    assert rows(found) == rows(spark.createDataFrame([("1", "noun7"), ("1", "noun7"), ("2", "noun8"), ("2", "other"), ("3", None)], "id string, word string"))
+
+
 @pytest.mark.parametrize("max_rows", [1_000_000, 0])
 def test_stop_word_table(spark, max_rows):
     words = spark.createDataFrame([("1", "taco"), ("1", "the"), ("2", "the"), ("2", "taco")], "id string, word string")
