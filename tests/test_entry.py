@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from tests.conftest import plan
@@ -37,3 +38,15 @@ def test_same_rows_as_sql(spark, name):
     from checks.compare import compare, connect
 
     assert compare(spark, connect(FOLDER), name, FOLDER).startswith("ok")
+
+
+def test_words_per_review_are_counted_in_small_parts(spark, tmp_path):
+    from checks.standins import Standins
+
+    documents = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.sha2(F.col("id").cast("string"), 512), 1_000).alias("text"))
+    documents.coalesce(1).write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(f"{tmp_path}/documents.parquet")
+    reviews = documents.select(F.lit("same").alias("review_id"), "text")
+    dealt = entry_points.registry.in_small_parts(Standins(spark, str(tmp_path)), reviews.unionByName(reviews))
+    parts = dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.sum(F.length("text")).alias("n")).collect()
+    assert sum(p["n"] for p in parts) == 800 * 128_000
+    assert len(parts) > 1 and dealt.rdd.getNumPartitions() >= 4
