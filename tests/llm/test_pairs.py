@@ -224,3 +224,21 @@ def test_items_in_documents(spark):
     assert sorted(r.doc_id for r in clean.collect()) == [1, 2, 3, 7]
     assert decontam.contained(table(spark, []), questions).count() == 0
     assert decontam.clean(given, questions.filter(F.lit(False))).count() == len(docs)
+
+
+def test_pairs_of_a_bucket_are_not_met_in_every_round(spark):
+    rng = random.Random(3)
+    held = {bucket: rng.sample(range(60), size) for bucket, size in ((1, 45), (2, 45), (3, 6), (4, 2), (5, 2), (6, 1))}
+    sized = common.shared_buckets(spark.createDataFrame([(b, n) for b, nodes in held.items() for n in nodes], "bucket long, node long"))
+    sketches = spark.createDataFrame([(n, (1, [0])) for n in range(60)], "node long, sketch struct<size:long, bits:array<long>>")
+    seen = []
+
+    def verify(pairs):
+        seen.extend(tuple(r) for r in pairs.select("a", "b").collect())
+        return pairs.filter("a < 0")
+
+    roots = common.linked(sized, verify, sketches, lambda a, b: a["size"] == b["size"])
+    wanted = {(a, b) for nodes in held.values() for a in nodes for b in nodes if a < b}
+    assert roots.isEmpty() and set(seen) == wanted
+    # Not again in each later round; only pairs of the first round may be met once more, in another bucket.
+    assert len(seen) <= len(wanted) + len(held)
