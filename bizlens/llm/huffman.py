@@ -118,8 +118,8 @@ def global_lengths(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def count(batches):
         total = np.zeros(MOST_IDS, np.int64)
         for batch in batches:
-            for ids in batch.column("ids"):
-                total += np.bincount(np.frombuffer(ids.as_buffer(), "<u2"), minlength=MOST_IDS)
+            for piece in chunks([batch], "ids", 4 << 20):
+                total += np.bincount(np.frombuffer(b"".join(piece.column("ids").to_pylist()), "<u2"), minlength=MOST_IDS)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["id", "n"])
 
