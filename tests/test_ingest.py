@@ -220,3 +220,12 @@ def test_next_file(spark):
     ledger = spark.createDataFrame([("tip", 0), ("tip", 8), ("user", 99)], "script_name string, processed_file int")
     scripts = spark.createDataFrame([("tip",), ("user",), ("review",)], "script_name string")
     assert rows(next_file(ledger, scripts)) == [("review", 0, "review/x00"), ("tip", 9, "tip/x09"), ("user", 100, "user/x100")]
+
+
+def test_a_larger_feed_makes_no_more_files(spark, tmp_path):
+    from checks.queries import FEED_FILES, write_feed
+
+    feed = spark.range(500).repartition(40).selectExpr("cast(id as string) as user_id")
+    write_feed(feed, f"{tmp_path}/user")
+    assert len(list((tmp_path / "user").glob("part-*"))) <= FEED_FILES
+    assert rows(spark.read.json(f"{tmp_path}/user")) == rows(feed)
