@@ -242,3 +242,23 @@ def test_pairs_of_a_bucket_are_not_met_in_every_round(spark):
     assert roots.isEmpty() and set(seen) == wanted
     # Not again in each later round; only pairs of the first round may be met once more, in another bucket.
     assert len(seen) <= len(wanted) + len(held)
+
+
+def test_a_task_hands_on_a_line_once():
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_pydict({"text": [f"same line\nonly {k}\nSAME  line"]}) for k in range(3)]
+    found = [row["line"] for batch in lines._spelled(iter(batches)) for row in batch.to_pylist()]
+    assert sorted(found) == ["only 0", "only 1", "only 2", "same line"]
+
+
+def test_lines_too_many_for_a_broadcast_are_joined_without_copies(spark, monkeypatch):
+    rows = [(d, "\n".join(["the very same line in each", f"a line that only number {d} has", f"nearly the same line in each of them {d}"])) for d in range(40)]
+    docs = table(spark, rows)
+    spread = docs.repartition(4)
+    key = spread.select("text").mapInArrow(lines._spelled, "key binary, line string").dropDuplicates(["key"])
+    wanted = materialize(key.select("key", F.monotonically_increasing_id().alias("node")), "wanted")
+    monkeypatch.setattr(lines, "fits_broadcast", lambda df: False)
+    texts = lines.spelled(spread, wanted)
+    assert sorted(r.line for r in texts.collect()) == sorted({line for _, t in rows for line in t.split("\n")})
+    assert "_salt" not in texts._jdf.queryExecution().optimizedPlan().toString()
