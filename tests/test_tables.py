@@ -5,7 +5,7 @@ from bizlens import session
 from bizlens.plans import insights
 from bizlens.schemas import TABLES, create_tables
 from bizlens.session import materialize, new_folder, scratch_root
-from bizlens.sources.tables import append_table, preview, read_tables, register, save_bucketed, sql, write_bucketed, write_table
+from bizlens.sources.tables import buckets_for, append_table, preview, read_tables, register, save_bucketed, sql, write_bucketed, write_table
 from tests.conftest import plan, rows
 
 
@@ -112,3 +112,10 @@ def test_a_cluster_without_shared_folder_is_an_error():
         session.scratch_root(Session)
     Context.master = "local[2]"
     assert session.scratch_root(Session) == session.scratch_root(Session)
+
+
+def test_buckets_grow_with_the_stored_table(spark, tmp_path, monkeypatch):
+    few, many = (write_table(spark.range(n).withColumn("word", F.sha2(F.col("id").cast("string"), 256)), f"{tmp_path}/{n}") for n in (10, 20_000))
+    monkeypatch.setattr("bizlens.sources.tables.BUCKET_BYTES", 100_000)
+    assert buckets_for(few, few) == 4  # as many as there are shuffle partitions
+    assert buckets_for(few, many) == buckets_for(many) > 4
