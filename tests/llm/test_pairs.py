@@ -112,6 +112,14 @@ def test_components(spark):
     assert got == want
 
 
+def test_a_star_is_one_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(common, "materialize", lambda df, label="table": written.append(label) or materialize(df, label))
+    got = common.components(spark.createDataFrame([(1, k) for k in range(2, 9)] + [(20, 21)], "a long, b long")).collect()
+    assert {r.node: r.root for r in got} == {**dict.fromkeys(range(1, 9), 1), 20: 20, 21: 20}
+    assert written == ["links"] * 2
+
+
 def shingled(line):
     line = " ".join(line.lower().split())
     return {line[i : i + 5] for i in range(len(line) - 4)} or {line}

@@ -5,7 +5,7 @@ from bizlens import session
 from bizlens.plans import insights
 from bizlens.schemas import TABLES, create_tables
 from bizlens.session import materialize, new_folder, scratch_root
-from bizlens.sources.tables import buckets_for, append_table, preview, read_tables, register, save_bucketed, sql, write_bucketed, write_table
+from bizlens.sources.tables import append_table, buckets_for, preview, read_tables, register, save_bucketed, sql, write_bucketed, write_table
 from tests.conftest import plan, rows
 
 
