@@ -66,13 +66,25 @@ class Code:
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bits, and the bit offset of every ``STRIDE``-th id."""
+        if not len(ids):
+            return b"", np.zeros(0, np.int64)
         sizes = self.size[ids]
         ends = np.cumsum(sizes)
         at = ends - sizes
-        value = self.word[ids] << (24 - sizes - (at & 7))
-        byte, n = at >> 3, int(ends[-1] + 7 >> 3) + 3 if len(ids) else 3
-        out = np.bincount(byte, value >> 16, n) + np.bincount(byte + 1, value >> 8 & 255, n) + np.bincount(byte + 2, value & 255, n)
-        return out.astype(np.uint8)[:-3].tobytes() if len(ids) else b"", at[::STRIDE]
+        # Codes fill 64-bit words from the top; in every word a code begins, and the last one there may go on in the next.
+        last = np.append(np.flatnonzero(np.diff(at >> 6)), len(ids) - 1)
+        room = 64 - sizes - (at & 63)
+        over = np.maximum(-room[last], 0).astype(np.uint64)
+        room[last] = np.maximum(room[last], 0)
+        word = self.word[ids].view(np.uint64)
+        tails = word[last]
+        word <<= room.view(np.uint64)
+        word[last] = tails >> over << room[last].view(np.uint64)
+        out = np.zeros(len(last) + 1, np.uint64)
+        out[:-1] = np.bitwise_or.reduceat(word, np.append(0, last[:-1] + 1))
+        on = np.flatnonzero(over)
+        out[on + 1] |= tails[on] << (np.uint64(64) - over[on])
+        return out.astype(">u8").tobytes()[: int(ends[-1] + 7 >> 3)], at[::STRIDE]
 
     def decode(self, payload: bytes, checkpoints: np.ndarray, n: int) -> np.ndarray:
         """The ids, all stretches between checkpoints side by side, one table look-up for each id."""

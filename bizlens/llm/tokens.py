@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import re
+from contextlib import contextmanager
+from itertools import islice
 
 import numpy as np
 
-MAX_PIECES = 1_000_000
+MAX_PIECES = 300_000
 #: The pieces into which the two public tokenizers split a text before merging, for plain Latin text.
 BYTE_LEVEL = r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 WORD_LEVEL = r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
@@ -34,11 +37,23 @@ class Numbers(dict):
         return number
 
 
+@contextmanager
+def uncollected():
+    """Without Python's collector of cycles: many small objects and no cycles are made here, and it would walk all known pieces each time."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class Encoder:
     """Ids of texts, equal to the library's own, from remembered ids of their pieces.
 
-    Merges never cross pieces, so a text's ids are those of its pieces one after the other. At most ``MAX_PIECES`` pieces
-    are remembered; then the memory starts anew.
+    Merges never cross pieces, so a text's ids are those of its pieces one after the other. Beyond ``MAX_PIECES`` pieces
+    the later half is forgotten: frequent pieces are met early. What was forgotten is learned again when it is met.
     """
 
     def __init__(self, path: str, pattern: str, lower: bool) -> None:
@@ -58,6 +73,12 @@ class Encoder:
         self.odd, self.size = np.zeros(1024, bool), np.zeros(1024, np.int32)
         self.begin, self.flat, self.used = np.zeros(1024, np.int64), np.zeros(4096, np.uint32), 0
 
+    def shrink(self, most: int) -> None:
+        """Forget all pieces but the first ``most``, and give back the memory of the others."""
+        self.known = Numbers(islice(self.known.items(), most))
+        self.used = int(self.begin[most - 1]) + int(self.size[most - 1])
+        self.odd, self.size, self.begin, self.flat = self.odd[:most].copy(), self.size[:most].copy(), self.begin[:most].copy(), self.flat[: self.used].copy()
+
     def learn(self, new: list[str], first: int) -> None:
         """Encode pieces whose numbers begin at ``first``."""
         if self.letters:  # a piece needs no more splitting: its merges alone give its ids
@@ -79,15 +100,19 @@ class Encoder:
         self.used += total
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        with uncollected():
+            return self._encode(texts)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > MAX_PIECES:
-            self.forget()
+            self.shrink(MAX_PIECES // 2)
         known, numbers, bounds, first = self.known, [], [0], len(self.known)
         for text in texts:
             pieces = self.find(text.lower() if self.lower else text)
             numbers.append(np.fromiter(map(known.__getitem__, pieces), np.int32, len(pieces)))
             bounds.append(bounds[-1] + len(pieces))
         if len(known) > first:
-            self.learn(list(known)[first:], first)
+            self.learn(list(islice(known, first, None)), first)
         number = np.concatenate(numbers) if numbers else np.zeros(0, np.int32)
         sizes = self.size[number]
         ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))

@@ -92,6 +92,43 @@ def test_code_is_limited_and_complete():
     assert (code.decode(*code.encode(ids), len(ids)) == ids).all()
 
 
+def test_codes_fill_bytes_from_the_top():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 40, 3000):
+        names = np.sort(rng.choice(65_536, n, replace=False))
+        code = huffman.Code(names, huffman.code_lengths(rng.integers(1, 10**6, n)))
+        ids = rng.choice(names, 700)
+        bits = "".join(f"{code.word[i]:0{code.size[i]}b}" for i in ids)
+        payload, checkpoints = code.encode(ids)
+        assert payload == bytes(int(bits[k : k + 8].ljust(8, "0"), 2) for k in range(0, len(bits), 8))
+        assert checkpoints.tolist() == (np.cumsum(code.size[ids]) - code.size[ids])[:: huffman.STRIDE].tolist()
+        assert (code.decode(payload, checkpoints, len(ids)) == ids).all()
+
+
+def test_frequent_pieces_stay_known(monkeypatch):
+    import gc
+
+    monkeypatch.setattr(tokens, "MAX_PIECES", 2000)
+    name, learned, runs, rng = "byte_bpe_50k.json", [], [], random.Random(6)
+    made = tokens.Encoder(tokens.tokenizer_path(name), tokens.BYTE_LEVEL, False)
+    learn = made.learn
+    monkeypatch.setattr(made, "learn", lambda new, first: (learned.extend(new), learn(new, first)))
+    seen = lambda phase, _: runs.append(phase)
+    library = Tokenizer.from_file(tokens.tokenizer_path(name))
+    for _ in range(8):
+        texts = ["the and of " + " ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(300)) for _ in range(5)]
+        gc.callbacks.append(seen)
+        got = made.encode(texts)
+        gc.callbacks.remove(seen)
+        assert [x.tolist() for x in got] == [library.encode(t).ids for t in texts]
+        assert len(made.known) <= 2000 + 1503
+        assert sum(made.size[: len(made.known)]) == made.used
+    assert len(learned) > 8000
+    assert learned.count(" and") == 1
+    assert gc.isenabled()
+    assert not runs
+
+
 def test_token_files_are_read_from_the_folder_alone(spark, tmp_path):
     found, docs = documents(spark)
     folder = str(tmp_path / "tokens")
