@@ -10,6 +10,8 @@ from itertools import islice
 import numpy as np
 
 MAX_PIECES = 300_000
+#: The same for tokenizers whose pieces the library splits again: learning one costs more there.
+MAX_SPLIT_PIECES = 1_000_000
 #: The pieces into which the two public tokenizers split a text before merging, for plain Latin text.
 BYTE_LEVEL = r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 WORD_LEVEL = r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
@@ -52,7 +54,7 @@ def uncollected():
 class Encoder:
     """Ids of texts, equal to the library's own, from remembered ids of their pieces.
 
-    Merges never cross pieces, so a text's ids are those of its pieces one after the other. Beyond ``MAX_PIECES`` pieces
+    Merges never cross pieces, so a text's ids are those of its pieces one after the other. Beyond ``MAX_PIECES`` pieces (``MAX_SPLIT_PIECES``)
     the later half is forgotten: frequent pieces are met early. What was forgotten is learned again when it is met.
     """
 
@@ -104,8 +106,9 @@ class Encoder:
             return self._encode(texts)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > MAX_PIECES:
-            self.shrink(MAX_PIECES // 2)
+        most = MAX_PIECES if self.letters else MAX_SPLIT_PIECES
+        if len(self.known) > most:
+            self.shrink(most // 2)
         known, numbers, bounds, first = self.known, [], [0], len(self.known)
         for text in texts:
             pieces = self.find(text.lower() if self.lower else text)
