@@ -160,7 +160,7 @@ def _classes(docs: DataFrame) -> DataFrame:
     def close(a: Column, b: Column) -> Column:
         return may_pass(a, b, BITMAP, THRESHOLD)
 
-    roots = linked(sized, verify, bags.select("node", "sketch"), close)
+    roots = linked(sized, verify, bags.select("node", "sketch"), close, THRESHOLD)
     if roots is None:
         named = texts.select("key", "n_copies", F.col("first_id").alias("class_id"))
     else:

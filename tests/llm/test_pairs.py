@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from bizlens.llm import bagminhash, common, decontam, lines
-from bizlens.session import materialize
+from bizlens.session import discard, materialize, scratch_root
 
 WORDS = [f"w{k}" for k in range(400)]
 #: Extra columns whose names the operators use inside.
@@ -252,6 +252,81 @@ def test_pairs_of_a_bucket_are_not_met_in_every_round(spark):
     assert len(seen) <= len(wanted) + len(held)
 
 
+def test_sketches_of_many_lines_at_once():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    sets = [common.mix(rng.integers(0, most, size, dtype=np.uint64)) for size, most in ((0, 9), (40, 20), (1, 9), (300, 2**62), (5000, 2**62), (0, 9))]
+    sets += [np.append(sets[3][30:], sets[4][:9]), sets[4][500:]]
+    sizes, bits = common.sketched(np.concatenate(sets), np.array([len(s) for s in sets]), 8)
+    assert sizes.tolist() == [len(set(s.tolist())) for s in sets]
+    for k, s in enumerate(sets):  # not dependent on what else is sketched
+        alone = common.sketched(np.tile(s, 2), np.array([2 * len(s)]), 8)
+        assert alone[0][0] == sizes[k] and (alone[1][0] == bits[k]).all()
+    for a, x in zip(sets, bits):
+        for b, y in zip(sets, bits):
+            differ = sum(bin(int(w)).count("1") for w in (x ^ y).view(np.uint64))
+            only_one = len(set(a.tolist()) ^ set(b.tolist()))
+            assert differ <= only_one and differ % 2 == only_one % 2
+
+
+def test_long_lines_have_longer_bitmaps(spark):
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
+    texts = [" ".join(words[k : k + 400]) for k in (0, 5, 400, 1200)] + [" ".join(words[:20])]
+    signed = next(lines._signed(iter([pa.RecordBatch.from_pydict({"text": texts})]))).to_pylist()
+    assert [r["f0"] is None for r in signed] == [False] * 4 + [True]
+    rows = [(k, (r["extent"], [r[f"s{i}"] for i in range(lines.BITMAP)], [r[f"f{i}"] for i in range(lines.FINE)])) for k, r in enumerate(signed[:4])]
+    kind = "struct<size:long, bits:array<long>, fine:array<long>>"
+    left, right = spark.createDataFrame(rows, f"a long, x {kind}"), spark.createDataFrame(rows, f"b long, y {kind}")
+    pairs = left.join(right, F.col("a") < F.col("b"))
+    assert pairs.filter(common.may_pass(F.col("x"), F.col("y"), lines.BITMAP, 0.8)).count() == 6
+    assert [(r.a, r.b) for r in pairs.filter(common.may_pass_fine(F.col("x"), F.col("y"), 0.8)).collect()] == [(0, 1)]
+
+
+def test_a_bucket_keeps_rows_that_have_one_of_a_near_size(spark):
+    rows = [(1, 1, 10), (1, 2, 12), (1, 3, 100), (1, 4, 15), (2, 5, 7), (3, 6, 8), (3, 7, 11), (4, 8, 5), (4, 9, 5), (4, 10, 200), (4, 11, 160)]
+    sized = common.shared_buckets(spark.createDataFrame(rows, "bucket long, node long, extent long"), 0.8)
+    want = {(b, n) for b, n, e in rows for c, m, f in rows if b == c and n != m and min(e, f) >= 0.8 * max(e, f)}
+    assert {(r.bucket, r.node) for r in sized.collect()} == want
+    assert {(r.bucket, r.size) for r in sized.collect()} == {(1, 3), (4, 4)}
+
+
+def folders(spark):
+    import os
+
+    root = scratch_root(spark)
+    return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+
+def test_lines_leave_only_what_their_result_is_read_from(spark):
+    earlier = folders(spark)
+    docs = materialize(table(spark, [(d, f"the same line in all of them\nline {d} is much like the others {d}\n{d}") for d in range(30)]), "docs")
+    before = folders(spark)
+    gone = lines.removed_lines(docs)
+    assert {name.split("-")[0] for name in folders(spark) - before} <= {"links", "named", "removed"}
+    assert gone.agg(F.sum("n_removed")).first()[0] >= 29
+    discard(docs)
+    mine = {name for name in before - earlier if name.startswith("docs-")}
+    assert mine and not mine & folders(spark)
+
+
+def test_shuffle_files_of_a_stored_table_go_at_once(spark):
+    import time
+
+    def held():
+        return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    before = held()
+    stored = materialize(spark.range(5000).repartition(3, "id"), "dealt")
+    end = time.time() + 20
+    while held() > before and time.time() < end:
+        time.sleep(0.2)
+    assert held() <= before and stored.count() == 5000
+
+
 def test_a_task_hands_on_a_line_once():
     import pyarrow as pa
 
